@@ -19,6 +19,12 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes(documents(spark, sf_dir, "doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=1)
 
 
+def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op02_scaled_sketch import fingerprints
+
+    return fingerprints(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.op08_mixing import mix
 
@@ -51,5 +57,5 @@ FROM p
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op8_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op8_mixing)}
 SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
