@@ -25,6 +25,12 @@ def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op03_toxicity import score
+
+    return score(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.op04_isolation_forest import judge
 
@@ -63,5 +69,5 @@ FROM p
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op4_isolation_forest, op8_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op8_mixing)}
 SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
