@@ -69,5 +69,11 @@ FROM p
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op8_mixing)}
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op09_jaccard_join import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op8_mixing, op9_jaccard_join)}
 SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
