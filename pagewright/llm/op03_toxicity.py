@@ -284,6 +284,52 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, id_column: str =
     return Regression([x for _, x, _ in ranked], [[place[f] for f in r["f"]] for r in got], np.array([r["toxic"] for r in got], dtype=np.float64))
 
 
+class Scorer:
+    """Scores of texts, with memos of bounded size."""
+
+    def __init__(self, model: CharModel, regression: Regression):
+        self.restore, self.regression, self.memo = Restorer(model), regression, {}
+
+    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
+        """Each text's score and its number of distinct restored words."""
+        index, memo = self.regression.index, self.memo
+        scores, sizes = [], []
+        for text in texts:
+            words = self.restore.words(text or "")
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            found: set[int] = set()
+            for w in words:
+                f = memo.get(w)
+                if f is None:
+                    f = memo[w] = tuple(index[x] for x in features_of(w) if x in index)
+                if f:
+                    found.update(f)
+            scores.append(self.regression.score(found))
+            sizes.append(len(words))
+        return np.array(scores, dtype=np.float64), sizes
+
+
+def fitted(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text"):
+    """The character model and the regression, broadcast; both have a bounded size."""
+    model = character_model(docs, text_column)
+    return docs.sparkSession.sparkContext.broadcast((model, train(docs, labels, model, id_column, text_column)))
+
+
+def reject(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`docs` without the rows that score THRESHOLD or more; its columns, and null texts, stay."""
+    shared = fitted(docs, labels, id_column, text_column)
+    at = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*shared.value)
+        for b in in_slices(batches):
+            s, _ = scorer.scores(b.column(at).to_pylist())
+            yield b.filter(pa.array(s < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _OUT = "doc_id long, held_out boolean, score double, predicted int, restored_words int"
 
 
@@ -293,30 +339,13 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     Null and empty texts get the score of no evidence. Rows with equal or null ids are scored each by itself (a null id is not held
     out). Without labelled rows every score is the same low one. Empty table: no rows. Only the text is an input of the score.
     """
-    model = character_model(docs, text_column)
-    regression = train(docs, labels, model, id_column, text_column)
-    shared = docs.sparkSession.sparkContext.broadcast((model, regression))
+    shared = fitted(docs, labels, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, regression = shared.value
-        restore, index = Restorer(model), regression.index
-        memo: dict[str, tuple[int, ...]] = {}
+        scorer = Scorer(*shared.value)
         for b in in_slices(batches):
-            ids, scores, sizes = b.column(0).to_pylist(), [], []
-            for text in b.column(1).to_pylist():
-                words = restore.words(text or "")
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                found: set[int] = set()
-                for w in words:
-                    f = memo.get(w)
-                    if f is None:
-                        f = memo[w] = tuple(index[x] for x in features_of(w) if x in index)
-                    if f:
-                        found.update(f)
-                scores.append(regression.score(found))
-                sizes.append(len(words))
-            s = np.array(scores)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_hold(i) == 1 for i in ids], pa.bool_()), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array(sizes, pa.int32())], names=["doc_id", "held_out", "score", "predicted", "restored_words"])
+            s, sizes = scorer.scores(b.column(1).to_pylist())
+            held = [_hold(i) == 1 for i in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(held, pa.bool_()), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array(sizes, pa.int32())], names=["doc_id", "held_out", "score", "predicted", "restored_words"])
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, _OUT)

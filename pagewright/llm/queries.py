@@ -37,6 +37,18 @@ def op4_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op05_line_winnowing import digest
+
+    return digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op07_best_fit import best_fit
+
+    return best_fit(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.op08_mixing import mix
 
@@ -75,5 +87,5 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op8_mixing, op9_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op5_line_winnowing, op7_best_fit, op8_mixing, op9_jaccard_join)}
 SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
