@@ -87,5 +87,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op5_line_winnowing, op7_best_fit, op8_mixing, op9_jaccard_join)}
+def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op10_log_bilinear import log_bilinear_scores
+
+    return log_bilinear_scores(documents(spark, sf_dir, "doc_id", "text"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op5_line_winnowing, op7_best_fit, op8_mixing, op9_jaccard_join, op10_log_bilinear)}
 SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
