@@ -43,6 +43,12 @@ def op5_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.op06_suffix_dedup import deduplicate
+
+    return deduplicate(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.op07_best_fit import best_fit
 
@@ -93,5 +99,5 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_bilinear_scores(documents(spark, sf_dir, "doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op5_line_winnowing, op7_best_fit, op8_mixing, op9_jaccard_join, op10_log_bilinear)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op5_line_winnowing, op6_suffix_dedup, op7_best_fit, op8_mixing, op9_jaccard_join, op10_log_bilinear)}
 SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
