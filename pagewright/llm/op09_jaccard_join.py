@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +33,17 @@ from pagewright.llm.common import in_slices, written
 SHINGLE_WORDS = 5
 #: Similarity as a whole percentage.
 PERCENT = 75
-#: Counters of the frequency sketch, in powers of two.
-SKETCH_BITS = 22
+#: The frequency sketch has a counter for so many bytes of text, within bounds given as powers of two; a shingle is frequent from
+#: FREQUENT documents on, or from twice the mean counter.
+SKETCH_BYTES, SKETCH_LEAST, SKETCH_MOST = 64, 16, 26
+SKETCH_CHUNKS = 64
+FREQUENT = 16
 #: Keys that may be broadcast to skip documents that no comparison needs; with more of them a join alone does it.
 BROADCAST_KEYS = 1_000_000
 #: Steps of size between groups of one component.
 BAND = 1.1
-STAR_ROUNDS = 2
+#: Most rounds of comparison with centres; they end when a round finds no link.
+STAR_ROUNDS = 6
 
 
 def prefix_length(n):
@@ -74,38 +79,75 @@ def _texts(docs: DataFrame, text_column: str) -> DataFrame:
 
 
 def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, n, key) for each row, and (at, count) rows of each task's sketch: its counters well above the mean."""
+    """(doc_id, n, key) for each row, and (chunk, counts) rows of each task's sketch, whose counters stop at 255."""
+    total = docs.agg(F.sum(F.octet_length(F.col(text_column).cast("string")))).first()[0] or 0
+    bits = min(max(math.ceil(math.log2(max(total, 1) / SKETCH_BYTES + 1)), SKETCH_LEAST), SKETCH_MOST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, seen = np.zeros(1 << SKETCH_BITS, dtype=np.uint32), 0
+        count = np.zeros(1 << bits, dtype=np.uint8)
         for b in in_slices(batches):
-            n, key = [], []
+            n, key, at = [], [], []
             for s in document_sets(b.column(1)):
                 n.append(len(s))
                 key.append(set_key(s))
-                at = (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                count[at] += np.uint32(1)
-                seen += len(s)
+                at.append((s >> np.uint64(64 - bits)).astype(np.uint32))
+            where, more = np.unique(np.concatenate(at), return_counts=True) if at else ([], [])
+            if len(where):
+                count[where] = np.minimum(count[where].astype(np.int64) + more, 255)
             yield _rows(b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), None, None)
-        at = np.flatnonzero(count >= max(4.0, 4.0 * seen / (1 << SKETCH_BITS)))
-        if len(at):
-            yield _rows(None, None, None, pa.array(at, pa.int64()), pa.array(count[at].astype(np.int64)))
+        if count.any():
+            pack = zstandard.ZstdCompressor(level=1).compress
+            yield _rows(None, None, None, pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([pack(x.tobytes()) for x in np.split(count, SKETCH_CHUNKS)], pa.binary()))
 
     def _rows(*columns) -> pa.RecordBatch:
         m = next(len(c) for c in columns if c is not None)
-        return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()) if c is None else c for c in columns], names=["doc_id", "n", "key", "at", "count"])
-
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, key long, at long, count long")
-
-
-def _levels(table: DataFrame) -> np.ndarray:
-    """The level of each sketch counter: 0 for most, then one more for each doubling of the count. 4 MB whatever the input."""
-    level = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
-    total = table.filter("n > 0").agg(F.sum("n")).first()[0] or 0
-    floor = max(16.0, 2.0 * total / (1 << SKETCH_BITS))
-    got = table.filter("at IS NOT NULL").groupBy("at").agg(F.sum("count").alias("c")).filter(F.col("c") >= floor).select(F.col("at").cast("int"), F.col("c").cast("long")).toArrow()
-    level[got.column(0).to_numpy()] = 1 + np.floor(np.log2(got.column(1).to_numpy() / floor)).astype(np.uint8)
-    return level
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.nulls(m, k) if c is None else c for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n", "key", "chunk", "counts"])
+
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, key long, chunk int, counts binary")
+
+
+class Levels:
+    """The level of each sketch counter: 0 for most, then one more for each doubling of the count. A bit for each counter, and the frequent ones."""
+
+    def __init__(self, bits: int, at: np.ndarray, level: np.ndarray):
+        self.bits, self.at, self.level = bits, at, level
+        flags = np.zeros(1 << bits, dtype=bool)
+        flags[at] = True
+        self.frequent = np.packbits(flags)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray | None:
+        """Levels of the hashes, or None if all are 0."""
+        at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        hit = (self.frequent[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+        if not hit.any():
+            return None
+        out = np.zeros(len(hashes), dtype=np.uint8)
+        some = np.flatnonzero(hit)
+        out[some] = self.level[np.searchsorted(self.at, at[some])]
+        return out
+
+
+def _levels(table: DataFrame) -> Levels:
+    """The sketches of all tasks added up, chunk by chunk; only frequent counters come to the driver, 2 ** SKETCH_MOST at the very most."""
+
+    def add(t: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor().decompress
+        total = None
+        for x in t.column("counts"):
+            c = np.frombuffer(unpack(x.as_py()), dtype=np.uint8).astype(np.int32)
+            total = c if total is None else total + c
+        floor = max(float(FREQUENT), 2.0 * float(total.mean()))
+        at = np.flatnonzero(total >= floor)
+        level = 1 + np.floor(np.log2(total[at] / floor)).astype(np.int32)
+        chunk = t.column("chunk")[0].as_py()
+        return pa.table({"size": pa.array([len(total)] * len(at), pa.int64()), "at": pa.array(at + chunk * len(total), pa.int64()), "level": pa.array(level)})
+
+    got = table.filter("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "size long, at long, level int").toArrow()
+    bits = int(math.log2(got.column(0)[0].as_py() * SKETCH_CHUNKS)) if len(got) else SKETCH_LEAST
+    at, level = got.column(1).to_numpy(), got.column(2).to_numpy().astype(np.uint8)
+    order = np.argsort(at)
+    return Levels(bits, at[order], level[order])
 
 
 def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
@@ -120,9 +162,9 @@ def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
                 if not n or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
-                lev = level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                lev = level.of(s)
                 p = prefix_length(n)
-                if lev.any():
+                if lev is not None:
                     s = s[np.argsort(lev, kind="stable")]  # s is sorted by hash within a level
                 tokens.append(s[:p])
                 keys.append(key)
@@ -226,22 +268,29 @@ def link_classes(docs: DataFrame, classes: DataFrame, text_column: str = "text")
     sets = _sets_of(docs, stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))), text_column, "jaccard-sets")
     links = written(_verified(stars, sets), "jaccard-links")
     labels = components(links)
-    sizes = runs.select("key", "n").distinct()
-    for round_ in range(1, STAR_ROUNDS):
-        tagged = runs.select("token", "key", "n").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        other = F.min(F.struct(F.xxhash64(F.lit(round_), "key").alias("h"), "key", "n", "label")).over(by_token)
-        again = tagged.withColumn("c", other).filter("c.label <> label").select("key", "n", F.col("c.key").alias("centre"), F.col("c.n").alias("centre_n"))
-        links = written(links.unionByName(_verified(_star(again), sets)), "jaccard-links")
-        labels = components(links)
+    sizes = written(runs.select("key", "n").distinct(), "jaccard-sizes")
+    rows = runs.select("token", "key", "n")
+    for round_ in range(1, STAR_ROUNDS + 1):
+        # Rows of shingles that two components have; a centre is of the largest component there, another one each round.
+        label = F.coalesce("label", "key")
+        members = sizes.join(labels, "key", "left").select("key", label.alias("label"))
+        weight = members.groupBy("label").agg(F.count("*").alias("weight"))
+        members = members.join(weight, "label")
+        mixed = F.min("label").over(by_token) != F.max("label").over(by_token)
+        rows = written(rows.select("token", "key", "n").join(members, "key").withColumn("mixed", mixed).filter("mixed").drop("mixed"), "jaccard-mixed")
+        if round_ == STAR_ROUNDS:
+            break
+        centre = F.min(F.struct((-F.col("weight")).alias("w"), F.xxhash64(F.lit(round_), "key").alias("h"), "key", "n", "label")).over(by_token)
+        again = rows.withColumn("c", centre).filter("c.label <> label").select("key", "n", F.col("c.key").alias("centre"), F.col("c.n").alias("centre_n"))
+        found = written(_verified(_star(again), sets), "jaccard-links")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels = components(written(links, "jaccard-links"))
 
     # The token-group matrix: groups are components cut by size, named by (label, band); what a document meets is another component's group.
-    label = F.coalesce("label", "key")
-    members = sizes.join(labels, "key", "left").select("key", "n", label.alias("label"))
-    weight = members.groupBy("label").agg(F.count("*").alias("weight"))
-    members = written(members.join(weight, "label").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND))), "jaccard-members")
-    rows = runs.select("token", "key").join(members, "key")
-    mixed = F.min("label").over(by_token) != F.max("label").over(by_token)
-    rows = written(rows.withColumn("mixed", mixed).filter("mixed").drop("mixed"), "jaccard-mixed")
+    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND)))
+    members = written(sizes.join(members, "key").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND))), "jaccard-members")
     matrix = rows.groupBy("token", F.col("label").alias("g"), F.col("band").alias("g_band")).agg(F.first("weight").alias("g_weight"))
     group = members.groupBy(F.col("label").alias("g"), F.col("band").alias("g_band")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
     larger = (F.col("g_weight") > F.col("weight")) | (F.col("g_weight") == F.col("weight")) & (F.col("g") > F.col("label"))
