@@ -155,12 +155,12 @@ def is_math_font(font: Column) -> Column:
 def detect_tables(c: Column) -> Column:
     """two lines at least that look like table rows."""
     lines = F.split(c, "\n")
-    return (F.size(lines) >= 2) & (F.size(F.filter(lines, lambda x: x.rlike(r"(?U)[|\t]{2,}|\s{2,}"))) >= 2)
+    return (F.size(lines) >= 2) & (F.size(F.filter(lines, lambda x: x.rlike(r"[|\t]{2,}| {2,}"))) >= 2)
 
 
 def detect_formulas(c: Column) -> Column:
     """F16."""
-    patterns = (r"\$.*?\$", r"(?U)\\\w+", r"[=+\-*/^]", r"(?U)\d+\s*[×x]\s*\d+")
+    patterns = (r"\$[^$]+\$", r"\\[a-zA-Z]+", r"[=+\-*/^]", r"[0-9]+ *[xX*] *[0-9]+")
     return reduce(lambda a, b: a | b, [c.rlike(p) for p in patterns])
 
 

@@ -26,11 +26,11 @@ def page_quality(blocks: DataFrame) -> DataFrame:
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", "t"))), lambda x: x["t"])
     p = rows.groupBy("doc_id", "page").agg(F.array_join(ordered, "").alias("t"), F.count("*").alias("n"), F.avg("boxed").alias("bbox_ratio"), F.avg("depth").alias("depth"), F.flatten(F.collect_list("w")).alias("w"))
     p = p.withColumn("block_count", F.col("n")).withColumn("text_length", F.length(X.strip(F.col("t"))).cast("long"))
-    length = F.greatest("text_length", F.lit(1))
+    length = F.greatest("text_length", F.lit(1))  # an empty page has no characters to count either
     p = p.withColumn("chars_per_block", F.col("text_length") / F.col("block_count"))
     p = p.withColumn("depth_score", F.when(F.col("depth") > 0, F.least(F.col("depth") / 3, F.lit(1.0))).otherwise(F.lit(0.5)))
     p = p.withColumn("structural_score", 0.5 * F.col("bbox_ratio") + 0.3 * (F.col("block_count") > 0).cast("double") + 0.2 * F.col("depth_score"))
-    p = p.withColumn("alnum_ratio", X.count_of(F.col("t"), r"[\p{L}\p{N}]") / length).withColumn("whitespace_ratio", X.count_of(F.col("t"), r"(?U)\s") / length)
+    p = p.withColumn("alnum_ratio", X.count_of(F.col("t"), "[A-Za-zА-Яа-яЁё0-9]") / length).withColumn("whitespace_ratio", X.count_of(F.col("t"), r"(?U)\s") / length)
     p = p.withColumn("unique_words_ratio", F.when(F.size("w") > 0, F.size(F.array_distinct("w")) / F.size("w")).otherwise(F.lit(0.0)))
     p = p.withColumn("text_coherence_score", _clamp(0.5 * F.col("alnum_ratio") + 0.3 * F.col("unique_words_ratio") + 0.2 * (1 - F.abs(F.col("whitespace_ratio") - USUAL_SPACE))))
     p = p.withColumn("has_tables", X.detect_tables(F.col("t"))).withColumn("has_formulas", X.detect_formulas(F.col("t")))
