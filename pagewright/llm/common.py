@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,8 +78,22 @@ def _tree(column: Column, cuts: list[int], lo: int, hi: int) -> Column:
     return F.when(column < F.lit(cuts[mid]), _tree(column, cuts, lo, mid)).otherwise(_tree(column, cuts, mid + 1, hi))
 
 
-def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type) for f in schema], schema=schema)
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """For what is run inside: Arrow batches of at most `rows` rows, for tables whose rows have some MB each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def rows_of(batch: pa.RecordBatch):
+    """A batch's rows as dictionaries, made one at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
 
 
 def in_slices(batches, rows: int = 2048):

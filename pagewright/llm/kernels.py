@@ -113,6 +113,19 @@ def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = Fa
     return mix((h[e] - h[s]) * q[s] + (e - s).astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
+def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hash of data[i:i+k] for each i up to len - k."""
+    n = len(data) - k + 1
+    p, q = _power(len(data) + 1)
+    h = _BYTE[data]
+    h *= p[: len(data)]
+    np.cumsum(h, out=h)
+    out = h[k - 1 :].copy()
+    out[1:] -= h[: n - 1]
+    out *= q[:n]
+    return mix(out)
+
+
 def bounds(doc: np.ndarray, n: int) -> np.ndarray:
     """Where each text's rows begin in a table sorted by text number; n + 1 values."""
     return np.searchsorted(doc, np.arange(n + 1))

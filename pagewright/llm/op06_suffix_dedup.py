@@ -22,14 +22,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import kernels as K
-from pagewright.llm.common import in_slices, shuffle_partitions, written
+from pagewright.llm.common import batches_of, in_slices, rows_of, shuffle_partitions, written
 from pagewright.llm.induced_sorting import suffix_order
 
 LENGTH, GRAM = 50, 20
 #: Grams in a string, strings around a mark, bytes around a mark.
 STRINGS = LENGTH - GRAM + 1
 AROUND = 2 * LENGTH - GRAM
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: Blocks that Spark hands to Python at once.
+BATCH_BLOCKS = 8
+#: Bytes of suffix tuples that a shard's sort keeps out of files.
+SORT_MEMORY = 64 << 20
 NO_ID = -(1 << 63)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -87,7 +91,7 @@ class Block:
         if n <= 0:
             z = np.zeros(0, dtype=np.int64)
             return z, z, z.astype(K.U64)
-        h = K.span_hashes(d, np.arange(n), np.arange(n) + GRAM)
+        h = K.gram_hashes(d, GRAM)
         for e in self.end[self.end < len(d)].tolist():
             h[max(e - GRAM + 1, 0) : e] = _MAX  # grams across a border
         low = _sliding(h, STRINGS, np.minimum, _MAX)  # least of the window that begins here
@@ -137,7 +141,7 @@ def _copies(blocks: DataFrame) -> DataFrame:
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 k = Block(r["ids"], r["sizes"], r["text"])
                 digest = [hashlib.md5(k.data[a:z], usedforsecurity=False).digest() for a, z in zip(k.start.tolist(), k.end.tolist(), strict=True)]
                 n = len(digest)
@@ -159,7 +163,7 @@ def _shared_marks(blocks: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 k = Block(r["ids"], r["sizes"], r["text"])
                 _, doc, h = k.marks(_skip(len(k.ids), r["copies"]))
                 hashes, more = _distinct_marks(h, doc)
@@ -227,8 +231,8 @@ def sort_shard(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarr
     text[:, :AROUND] = rows
     np.maximum(text, 1, out=text)  # what lies outside of a document is like the border of a surrounding
     flat = np.append(text.ravel(), np.uint8(0))
-    order = suffix_order(flat, LENGTH)[1:].astype(np.int64)
-    owner, place = np.divmod(order, AROUND + 1)
+    order = suffix_order(flat, LENGTH, memory=SORT_MEMORY)[1:]
+    owner, place = np.divmod(order, np.int32(AROUND + 1))
     use = (place >= valid[owner, 0]) & (place <= valid[owner, 1])
     order, owner, place = order[use], owner[use], place[use]
     strings = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)
@@ -250,7 +254,7 @@ def _string_masks(blocks: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 _, _, _, _, rows, valid, h, least = _candidates(r, buckets)
                 order, cut = _split(h, buckets)
                 out = []
@@ -310,15 +314,17 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = False, id_column: str = "doc
     """
     buckets = 4 * shuffle_partitions(docs.sparkSession)
     blocks = written(encode_blocks(docs, id_column, text_column), "suffix-blocks")
-    blocks = blocks.join(written(_copies(blocks), "suffix-copies"), "block", "left")
-    shared = written(_shared_marks(blocks, buckets), "suffix-marks").groupBy("block").agg(F.collect_list(F.struct("bucket", "shared")).alias("shared"))  # a row for each range
-    blocks = blocks.join(shared, "block", "left")
-    masks = written(_string_masks(blocks, buckets), "suffix-masks").groupBy("block").agg(F.collect_list(F.struct("bucket", "masks")).alias("masks"))
-    blocks = blocks.join(masks, "block", "left")
+    spark = docs.sparkSession
+    with batches_of(spark, BATCH_BLOCKS):
+        blocks = blocks.join(written(_copies(blocks), "suffix-copies"), "block", "left")
+        shared = written(_shared_marks(blocks, buckets), "suffix-marks").groupBy("block").agg(F.collect_list(F.struct("bucket", "shared")).alias("shared"))  # a row for each range
+        blocks = blocks.join(shared, "block", "left")
+        masks = written(_string_masks(blocks, buckets), "suffix-masks").groupBy("block").agg(F.collect_list(F.struct("bucket", "masks")).alias("masks"))
+        blocks = blocks.join(masks, "block", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 k, gone = _removed(r, buckets)
                 n = len(k.ids)
                 c = np.concatenate([[0], np.cumsum(gone)])
@@ -331,7 +337,8 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = False, id_column: str = "doc
                 columns = [pa.array(k.ids, mask=k.ids == NO_ID), pa.array(k.sizes), pa.array(c[k.end] - c[k.start]), pa.array(f[k.end] - f[k.start]), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array(kept if keep_bytes else [None] * n, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _OUT.split(", ")])
 
-    out = blocks.mapInArrow(run, _OUT)
+    with batches_of(spark, BATCH_BLOCKS):
+        out = written(blocks.mapInArrow(run, _OUT), "suffix-result")
     return out if keep_bytes else out.drop("kept")
 
 
