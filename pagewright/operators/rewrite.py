@@ -20,8 +20,11 @@ WHERE = r"(?U),\s+где\b"
 ZERO_IF = r"(?U)(?<=\.)\s+(?==\s*0,\s*если\b)"
 FORMULA_SIGNS = r"[\x{370}-\x{3FF}\x{2200}-\x{22FF}\x{2100}-\x{214F}\x{1D400}-\x{1D7FF}$]|\\\(|\\\["
 
-DOCUMENT = Window.partitionBy("doc_id").orderBy("seq")
-PAGE = Window.partitionBy("doc_id", "page").orderBy("seq")
+
+def document() -> "Window":
+    """Blocks of a document in order."""
+    return Window.partitionBy("doc_id").orderBy("seq")
+
 
 
 def renumber(blocks: DataFrame, *order: str) -> DataFrame:
@@ -121,9 +124,9 @@ def merge_fragments(blocks: DataFrame) -> DataFrame:
     """A fragment continues the block before it on the page. Whether it does depends on the previous row alone, so that chains are islands."""
     t = X.strip(F.coalesce("content", F.lit("")))
     kinds = ("paragraph", "formula", "list")
-    before = F.lag(F.struct("type", "page", X.rstrip(F.coalesce("content", F.lit(""))).alias("text"))).over(DOCUMENT)
+    before = F.lag(F.struct("type", "page", X.rstrip(F.coalesce("content", F.lit(""))).alias("text"))).over(document())
     link = F.col("type").isin(*kinds) & before["type"].isin(*kinds) & (before["page"] == F.col("page")) & ~before["text"].rlike(SENTENCE_END) & t.rlike(FRAGMENT_START) & (t != "")
-    tagged = blocks.withColumn("__text", t).withColumn("__new", F.when(F.coalesce(link, F.lit(False)), 0).otherwise(1)).withColumn("__island", F.sum("__new").over(DOCUMENT))
+    tagged = blocks.withColumn("__text", t).withColumn("__new", F.when(F.coalesce(link, F.lit(False)), 0).otherwise(1)).withColumn("__island", F.sum("__new").over(document()))
     text = F.transform(F.array_sort(F.collect_list(F.struct("seq", "__text", "content"))), lambda x: x)
     joined = tagged.groupBy("doc_id", "__island").agg(text.alias("__all"))
     head = tagged.filter("__new = 1").drop("__text", "__new")
@@ -198,20 +201,20 @@ def document_summary(blocks: DataFrame) -> DataFrame:
 
 def caption_images(blocks: DataFrame) -> DataFrame:
     """B15, off by default: a short paragraph with рис or fig after an image becomes its content."""
-    after = F.lead(F.struct("type", "page", "content")).over(DOCUMENT)
+    after = F.lead(F.struct("type", "page", "content")).over(document())
     is_caption = lambda kind, page, text: (kind == "paragraph") & (page == F.col("page")) & (F.length(text) < 100) & F.lower(text).rlike("рис|fig")
     out = blocks.withColumn("__after", after)
     takes = (F.col("type") == "image") & F.coalesce(is_caption(F.col("__after.type"), F.col("__after.page"), F.col("__after.content")), F.lit(False))
-    out = out.withColumn("__takes", takes).withColumn("__gone", F.coalesce(F.lag("__takes").over(DOCUMENT), F.lit(False)))
+    out = out.withColumn("__takes", takes).withColumn("__gone", F.coalesce(F.lag("__takes").over(document()), F.lit(False)))
     return out.withColumn("content", F.when(F.col("__takes"), F.col("__after.content")).otherwise(F.col("content"))).filter(~F.col("__gone")).drop("__after", "__takes", "__gone")
 
 
 def merge_adjacent_lists(blocks: DataFrame) -> DataFrame:
     """B16, off by default: a list that begins with a mark continues a finished list before it on the page."""
     first = F.element_at(F.split("content", "\n"), 1)
-    before = F.lag(F.struct("type", "page", "content")).over(DOCUMENT)
+    before = F.lag(F.struct("type", "page", "content")).over(document())
     link = (F.col("type") == "list") & (before["type"] == "list") & (before["page"] == F.col("page")) & X.rstrip(before["content"]).rlike(ITEM_END) & (first.rlike(X.CLAUSE_MARK) | first.rlike(X.SUB_MARK))
-    tagged = blocks.withColumn("__new", F.when(F.coalesce(link, F.lit(False)), 0).otherwise(1)).withColumn("__island", F.sum("__new").over(DOCUMENT))
+    tagged = blocks.withColumn("__new", F.when(F.coalesce(link, F.lit(False)), 0).otherwise(1)).withColumn("__island", F.sum("__new").over(document()))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "content"))), lambda x: x["content"]), "\n")
     joined = tagged.groupBy("doc_id", "__island").agg(text.alias("__text"))
     return tagged.filter("__new = 1").join(joined, ["doc_id", "__island"]).withColumn("content", F.col("__text")).select(*blocks.columns)
