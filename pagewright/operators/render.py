@@ -56,7 +56,7 @@ def page_sections(rendered: DataFrame) -> DataFrame:
     """(doc_id, section, page, html): a new section whenever the page changes along the order of blocks."""
     w = Window.partitionBy("doc_id").orderBy("seq")
     change = F.when(F.lag("page").over(w).eqNullSafe(F.col("page")), 0).otherwise(1)
-    d = rendered.withColumn("__c", change).withColumn("section", F.sum("__c").over(w))
+    d = rendered.withColumn("__c", change).withColumn("section", F.sum("__c").over(w).cast("int"))
     inner = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "html"))), lambda x: x["html"]), "")
     p = F.col("page").cast("string")
     html = F.concat(F.lit('<section class="page" id="page-'), p, F.lit('" data-page="'), p, F.lit('"><div class="page-label"><a href="#page-'), p, F.lit('">Страница '), p, F.lit("</a></div>"), F.col("inner"), F.lit("</section>"))
