@@ -32,6 +32,8 @@ AROUND = 2 * LENGTH - GRAM
 BLOCK_BYTES = 1 << 20
 #: Blocks that Spark hands to Python at once.
 BATCH_BLOCKS = 8
+#: Bytes of surroundings that are sorted together, about; more only if they share one mark.
+SHARD_BYTES = 1 << 20
 #: Bytes of suffix tuples that a shard's sort keeps out of files.
 SORT_MEMORY = 64 << 20
 NO_ID = -(1 << 63)
@@ -249,6 +251,23 @@ def sort_shard(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarr
     return out
 
 
+def sort_shards(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """`sort_shard` over parts of SHARD_BYTES about, by the marks' hashes: surroundings that share a string have equal marks."""
+    parts = -(-len(rows) * (AROUND + 1) // SHARD_BYTES)
+    if parts < 2:
+        return sort_shard(rows, valid, ids)
+    mark = np.zeros(len(rows), dtype=K.U64)
+    for i in range(LENGTH - GRAM, LENGTH):
+        mark = mark * K.U64(0x100000001B3) + rows[:, i]
+    part = (K.mix(mark) >> K.U64(33)).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    out = np.zeros(len(rows), dtype=np.uint32)
+    for o in np.split(order, np.searchsorted(part[order], np.arange(1, parts))):
+        if len(o):
+            out[o] = sort_shard(rows[o], valid[o], ids[o])
+    return out
+
+
 def _string_masks(blocks: DataFrame, buckets: int) -> DataFrame:
     """(block, bucket, masks): for each hash range of the block's distinct surroundings, in order, the answer of `sort_shard`."""
 
@@ -269,7 +288,7 @@ def _string_masks(blocks: DataFrame, buckets: int) -> DataFrame:
         ids = [np.frombuffer(x.as_buffer(), "<i8") for x in t.column("ids")]
         rows = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in t.column("rows")]).reshape(-1, AROUND)
         valid = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in t.column("valid")]).reshape(-1, 2).astype(np.int64)
-        masks = sort_shard(rows, valid, np.concatenate(ids))
+        masks = sort_shards(rows, valid, np.concatenate(ids))
         cut = np.cumsum([0, *map(len, ids)])
         return pa.table({"block": t.column("block"), "bucket": t.column("bucket"), "masks": pa.array([masks[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
 
