@@ -68,7 +68,8 @@ def greedy_match(golden: DataFrame, result: DataFrame, threshold: float = S.MATC
     """M1-M3: (doc_id, page, seq, result_seq, likeness, type_break) for each golden block of `prepared` tables. A page is one group."""
 
     def run(key, g: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        rows = _pairs(g.sort_values("seq").to_dict("records"), r.sort_values("seq").to_dict("records"), threshold)
+        in_order = lambda d: d.sort_values("seq").to_dict("records") if len(d) else []
+        rows = _pairs(in_order(g), in_order(r), threshold)
         out = pd.DataFrame(rows, columns=["seq", "result_seq", "likeness", "type_break"])
         out["result_seq"] = out["result_seq"].astype("Int64")
         out.insert(0, "page", key[1])
