@@ -77,6 +77,8 @@ def greedy_match(golden: DataFrame, result: DataFrame, threshold: float = S.MATC
         return out
 
     schema = golden.select("doc_id", "page", "seq").schema.add("result_seq", "long").add("likeness", "double").add("type_break", "boolean")
+    # Both may come from one table: fresh names keep the sides' columns apart.
+    result = result.select(*[F.col(c).alias(f"r_{c}") for c in result.columns]).toDF(*result.columns)
     return golden.groupBy("doc_id", "page").cogroup(result.groupBy("doc_id", "page")).applyInPandas(run, schema)
 
 
