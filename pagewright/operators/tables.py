@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagewright.functions import text as X
+from pagewright.schema import BLOCK
 
 # Fixed values.
 HEADER_MATH = "(?iu)[·×≤≥±−\\x{f0d7}\\x{f044}φθα-ω∆∇∑∫√∞π]"
@@ -55,6 +57,4 @@ def structured(raw: DataFrame) -> DataFrame:
     is_table = F.col("type") == "table"
     df = df.withColumn("__columns", F.when(is_table, columns)).withColumn("__body", F.when(is_table, body))
     df = df.withColumn("columns", F.col("__columns")).withColumn("rows", F.col("__body")).withColumn("number_of_rows", F.when(is_table, F.size("__body"))).withColumn("number_of_columns", F.when(is_table, F.col("__w")))  # T7
-    from pagewright.schema import BLOCK
-
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in BLOCK.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(BLOCK).fields])

@@ -47,7 +47,7 @@ def read_layout(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], LAYOUT)
 
 
-def blocks_of(text: Column) -> Column:
+def blocks_of(text) -> Column:
     """The block list of a result or golden JSON in any of its five shapes; an unknown shape has none."""
     paths = ("content.document.block", "content.document.kids", "content.block", "block", "kids")
     found = [F.from_json(F.get_json_object(text, f"$.{p}"), BLOCKS_JSON) for p in paths]
