@@ -10,6 +10,7 @@ from pagewright.operators import tables as T
 from pagewright.plans.inputs import BOXES_SQL, LINES_SQL, boxes, lines, pages
 from pagewright.plans.registry import registry
 from pagewright.sources import html as H
+from pagewright.storage import stored
 
 QUERIES, SQL, query = registry()
 
@@ -60,7 +61,8 @@ def html_list_items(spark, sf_dir):
 @query(None)
 def layout_rewrite(spark, sf_dir):
     """All rules in order, over the pages' own blocks."""
-    return R.layout_rules(H.typed_blocks(_raw(spark, sf_dir))).select("doc_id", "page", "seq", "type", "content")
+    blocks = stored(H.typed_blocks(_raw(spark, sf_dir)), "blocks-raw")
+    return R.layout_rules(blocks).select("doc_id", "page", "seq", "type", "content")
 
 
 @query("WITH " + LINES_SQL + ", x AS (SELECT doc_id, seq, page, unnest(CASE WHEN type = 'paragraph' THEN [content || '.', '8.1.2 Б ' || content] ELSE [content] END) AS content, type, unnest(CASE WHEN type = 'paragraph' THEN [0, 1] ELSE [0] END) AS part FROM lines) " + _renumbered("SELECT doc_id, seq, page, type, trim(content, ' ') AS content, part FROM x"))
@@ -318,4 +320,4 @@ def drop_fragments(spark, sf_dir):
 def cleanup_all(spark, sf_dir):
     """The whole cleanup, over typeset lines."""
     extra = {"latex": F.lit(None).cast("string"), "image_key": F.lit(None).cast("string"), "is_enriched": F.lit(False), "is_rebuilt": F.lit(False), "heading_level": F.lit(2)}
-    return C.cleanup(boxes(spark, sf_dir).withColumns(extra)).select("doc_id", "page", "seq", "type", "content")
+    return C.cleanup(boxes(spark, sf_dir).withColumns(extra), store=stored).select("doc_id", "page", "seq", "type", "content")

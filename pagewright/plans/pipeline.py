@@ -11,6 +11,7 @@ from pagewright.config import Settings
 from pagewright.operators import cleanup, compare, enrich, quality, render, rewrite
 from pagewright.schema import DEFAULT_PAGE
 from pagewright.sources import html
+from pagewright.storage import stored
 
 
 @dataclass
@@ -38,9 +39,15 @@ def parse(pages: DataFrame, spans: DataFrame | None = None, images: DataFrame |
     lines = enrich.span_lines(spans) if spans is not None else None
     if undecoded is not None and lines is not None:
         pages = enrich.substitute_undecoded(pages, undecoded, lines, sizes)
-    blocks = rewrite.layout_rules(html.typed_blocks(html.raw_blocks(pages, root)))
+    # Stored between groups of rules: each group reads its input more than once, and plans would multiply.
+    blocks = stored(html.typed_blocks(html.raw_blocks(pages, root)), "blocks-raw")
+    for k in range(0, len(rewrite.LAYOUT_RULES), 5):
+        for rule in rewrite.LAYOUT_RULES[k : k + 5]:
+            blocks = rule(blocks)
+        blocks = stored(blocks, "blocks-layout")
     if lines is not None:
-        blocks = enrich.enriched(blocks, lines)
+        lines = stored(lines, "pdf-lines")
+        blocks = stored(enrich.enriched(blocks, lines), "blocks-enriched")
         blocks = enrich.title_levels(blocks, lines, settings.publisher_logo)
         index = enrich.bbox_index(lines)
         blocks = enrich.restore_boxes(blocks, index)
@@ -51,7 +58,7 @@ def parse(pages: DataFrame, spans: DataFrame | None = None, images: DataFrame |
     if images is not None:
         files = enrich.name_images(images)
         blocks = enrich.inject_images(enrich.bind_images(blocks, files), files)
-    blocks = cleanup.cleanup(blocks, settings)
+    blocks = stored(cleanup.cleanup(stored(blocks, "blocks-bound"), settings, store=stored), "blocks")
     scored = quality.page_quality(blocks)
     return Parsed(blocks, quality.page_status(scored), quality.document_quality(scored))
 
@@ -72,8 +79,8 @@ class Report:
 
 def compare_documents(golden: DataFrame, result: DataFrame, settings: Settings = Settings()) -> Report:
     """Score result blocks against golden blocks of the same documents."""
-    g, r = compare.prepared(golden), compare.prepared(result)
-    match = compare.greedy_match(g, r, settings.match_threshold)
-    status = compare.status_rows(g, r, match)
+    g, r = stored(compare.prepared(golden), "golden"), stored(compare.prepared(result), "result")
+    match = stored(compare.greedy_match(g, r, settings.match_threshold), "match")
+    status = stored(compare.status_rows(g, r, match), "status")
     missed, extra, structure = compare.unmatched(status, "missed"), compare.unmatched(status, "extra"), compare.structure_mismatches(g, r, match)
     return Report(match, compare.scores(status, "doc_id"), compare.scores(status, "type"), compare.scores(status, "page"), missed, extra, structure, compare.text_coverage(g, r, match), status, render.diff_html(missed, extra, structure))
