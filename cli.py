@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> None:
         c.add_argument("--out", required=True)
         c.add_argument("--spans", help="PDF spans as Parquet")
         c.add_argument("--result", help="result JSON to score instead of parsing")
-        c.add_argument("--etalon", required=name == "compare", help="golden JSON")
+        c.add_argument("--golden", required=name == "compare", help="golden JSON")
         c.add_argument("--threshold", type=float, default=0.6)
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("pagewright").getOrCreate()
@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
         render.write_text(render.result_json(blocks, parsed.documents), "json", f"{a.out}/json")
         render.write_text(render.document_html(render.block_html(blocks)), "html", f"{a.out}/html")
     if a.command == "compare":
-        report = compare_documents(files.read_results(spark, a.etalon), blocks, settings)
+        report = compare_documents(files.read_results(spark, a.golden), blocks, settings)
         for name in ("summary", "by_type", "by_page", "missed", "extra", "structure", "coverage", "status", "diff"):
             getattr(report, name).write.mode("overwrite").json(f"{a.out}/report/{name}")
         report.summary.join(report.coverage.select("doc_id", "coverage"), "doc_id", "left").orderBy("doc_id").show(truncate=False)
