@@ -9,9 +9,11 @@ Documents are sets of distinct word shingles (64-bit hashes). Equal sets are one
 2. Groups. Of each prefix shingle's documents, each is compared with one centre: as many comparisons as rows, and copies of one
    document fall into one component. These components, cut by size, are the groups; the token-group matrix holds for each prefix
    shingle the groups that have it.
-3. Bound. A document q of a smaller component is joined with the matrix; the shingles that it shares with a group's union, and
-   those after its prefix, bound its overlap with any member. Groups that can't reach the needed overlap stay closed.
-4. Open groups' members are compared with q exactly.
+3. Bound. A document q of a smaller component is joined with the matrix. A shingle that it has in common with a member is in both
+   prefixes, or lies after the end of the prefix that ends first; so the shingles that q shares with a group's prefixes, and those
+   after the least end of q's and the members' prefixes, bound its overlap with any member. Ends are compared with MARKS marks in
+   each prefix. Groups that can't reach the needed overlap stay closed.
+4. Open groups' members are compared with q exactly, if the same bound, from either side, lets the pair through.
 
 No step makes all pairs of a group: pairs are made with a centre, or with members of other components that pass the bound.
 """
@@ -42,6 +44,8 @@ FREQUENT = 16
 BROADCAST_KEYS = 1_000_000
 #: Steps of size between groups of one component.
 BAND = 1.1
+#: Places in a prefix whose shingles are kept to tell how much of it lies before another prefix's end.
+MARKS = 16
 #: Most rounds of comparison with centres; they end when a round finds no link.
 STAR_ROUNDS = 6
 
@@ -150,6 +154,26 @@ def _levels(table: DataFrame) -> Levels:
     return Levels(bits, at[order], level[order])
 
 
+def _in_order(s: np.ndarray, levels: Levels) -> np.ndarray:
+    """The set in the order of all shingles: by level, and by hash within a level."""
+    lev = levels.of(s)
+    return s if lev is None else s[np.argsort(lev, kind="stable")]
+
+
+def marks_of(s: np.ndarray, levels: Levels) -> np.ndarray:
+    """MARKS places in the order, as numbers: of the last shingle of each k-th part of the set's prefix; the last is the prefix's end."""
+    p = prefix_length(len(s))
+    s = _in_order(s, levels)[(p * np.arange(1, MARKS + 1) + MARKS - 1) // MARKS - 1]
+    lev = levels.of(s)
+    high = np.zeros(len(s), dtype=np.int64) if lev is None else lev.astype(np.int64)
+    return (high << 56) + (s >> np.uint64(8)).astype(np.int64)
+
+
+def _before(marks: Column, end: Column, p: Column) -> Column:
+    """At least so many shingles of a prefix lie before `end`."""
+    return F.ceil(p * F.size(F.filter(marks, lambda x: x < end)) / MARKS)
+
+
 def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
     """(token, key, n): each set's prefix shingles; copies within a task once."""
 
@@ -162,11 +186,8 @@ def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
                 if not n or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
-                lev = level.of(s)
                 p = prefix_length(n)
-                if lev is not None:
-                    s = s[np.argsort(lev, kind="stable")]  # s is sorted by hash within a level
-                tokens.append(s[:p])
+                tokens.append(_in_order(s, level)[:p])
                 keys.append(key)
                 sizes.append(n)
                 counts.append(p)
@@ -177,8 +198,8 @@ def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
     return _texts(docs, text_column).mapInArrow(run, "token long, key long, n int")
 
 
-def _sets_of(docs: DataFrame, keys: DataFrame, text_column: str, name: str) -> DataFrame:
-    """(key, hashes as bytes) of the sets whose key is in `keys` (key), stored. If the keys are few they are broadcast to leave out other documents early."""
+def _sets_of(docs: DataFrame, keys: DataFrame, text_column: str, name: str, levels=None) -> DataFrame:
+    """(key, hashes as bytes), or (key, marks) if levels are given, of the sets whose key is in `keys` (key), stored. If the keys are few they are broadcast to leave out other documents early."""
     spark = docs.sparkSession
     keys = written(keys.select("key").distinct(), name + "-keys")
     few = None
@@ -188,6 +209,7 @@ def _sets_of(docs: DataFrame, keys: DataFrame, text_column: str, name: str) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         wanted = few.value if few is not None else None
+        level = levels.value if levels is not None else None
         for b in in_slices(batches):
             key, data = [], []
             for s in document_sets(b.column(0)):
@@ -197,11 +219,12 @@ def _sets_of(docs: DataFrame, keys: DataFrame, text_column: str, name: str) -> D
                     continue
                 seen.add(k)
                 key.append(k)
-                data.append(s.tobytes())
+                data.append(s.tobytes() if level is None else marks_of(s, level).tolist())
             if key:
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(data, pa.binary())], names=["key", "hashes"])
+                values = pa.array(data, pa.binary() if level is None else pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), values], names=["key", "hashes" if level is None else "marks"])
 
-    sets = _texts(docs, text_column).mapInArrow(run, "key long, hashes binary")
+    sets = _texts(docs, text_column).mapInArrow(run, "key long, hashes binary" if levels is None else "key long, marks array<long>")
     if few is None:
         sets = sets.join(keys, "key", "left_semi")
     return written(sets.dropDuplicates(["key"]), name)
@@ -289,18 +312,24 @@ def link_classes(docs: DataFrame, classes: DataFrame, text_column: str = "text")
         labels = components(written(links, "jaccard-links"))
 
     # The token-group matrix: groups are components cut by size, named by (label, band); what a document meets is another component's group.
-    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND)))
-    members = written(sizes.join(members, "key").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(BAND))), "jaccard-members")
-    matrix = rows.groupBy("token", F.col("label").alias("g"), F.col("band").alias("g_band")).agg(F.first("weight").alias("g_weight"))
-    group = members.groupBy(F.col("label").alias("g"), F.col("band").alias("g_band")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    marks = _sets_of(docs, rows, text_column, "jaccard-marks", levels)
+    n, m = F.col("n"), F.col("m")
+    prefix = lambda size: size - F.ceil(size * PERCENT / 100) + 1
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(BAND))
+    # Only documents with a row here can have a link to another component.
+    members = written(sizes.join(members, "key").join(marks, "key").withColumn("band", band).withColumn("end", F.element_at("marks", -1)), "jaccard-members")
+    rows = rows.select("token", "key").join(members.select("key", "n", "label", "weight", "band", "end"), "key")
+    matrix = rows.groupBy("token", F.col("label").alias("g"), F.col("band").alias("g_band")).agg(F.first("weight").alias("g_weight"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("end").alias("g_end"))
     larger = (F.col("g_weight") > F.col("weight")) | (F.col("g_weight") == F.col("weight")) & (F.col("g") > F.col("label"))
-    band_near = F.abs(F.col("band") - F.col("g_band")) <= math.ceil(math.log(100 / PERCENT) / math.log(BAND)) + 1
-    met = rows.join(matrix, "token").filter(larger & band_near).groupBy("key", "n", "g", "g_band").agg(F.count("*").alias("s"))
-    p = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * PERCENT / 100))
-    opened = met.join(group, ["g", "g_band"]).filter((smallest <= F.col("most")) & linked(F.col("s") + F.col("n") - p, F.col("n"), smallest))
-    inside = members.select(F.col("label").alias("g"), F.col("band").alias("g_band"), F.col("key").alias("b"), F.col("n").alias("m"))
-    pairs = written(opened.select(F.col("key").alias("a"), "n", "g", "g_band").join(inside, ["g", "g_band"]).filter(_near_size(F.col("n"), F.col("m"))).select("a", "b"), "jaccard-opened")
+    sizes_near = (F.col("most") * 100 >= n * PERCENT) & (n * 100 >= F.col("least") * PERCENT)
+    met = rows.drop("end").join(matrix, "token").filter(larger & sizes_near).groupBy("key", "n", "g", "g_band").agg(F.count("*").alias("s"), F.min("least").alias("least"), F.min("g_end").alias("g_end"))
+    met = met.join(members.select("key", "marks", "end"), "key")
+    smallest = F.greatest(F.col("least"), F.ceil(n * PERCENT / 100))
+    opened = met.filter(linked(F.col("s") + n - _before(F.col("marks"), F.col("g_end"), prefix(n)), n, smallest)).drop("least", "g_end")
+    inside = members.select(F.col("label").alias("g"), F.col("band").alias("g_band"), F.col("key").alias("b"), n.alias("m"), F.col("marks").alias("m_marks"), F.col("end").alias("m_end"))
+    q_most, m_most = n - _before(F.col("marks"), F.col("m_end"), prefix(n)), m - _before(F.col("m_marks"), F.col("end"), prefix(m))
+    passes = _near_size(n, m) & linked(F.col("s") + F.least(q_most, m_most), n, m)
+    pairs = written(opened.withColumnRenamed("key", "a").join(inside, ["g", "g_band"]).filter(passes).select("a", "b"), "jaccard-opened")
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct().join(sets.select("key"), "key", "left_anti")
     sets = sets.unionByName(_sets_of(docs, ends, text_column, "jaccard-more-sets"))
     return components(written(links.unionByName(_verified(pairs, sets)), "jaccard-links"))

@@ -205,6 +205,17 @@ def test_op9(docs, empty):
     assert O9.jaccard_components(empty).count() == 0
 
 
+def test_op9_extended_copies(spark):
+    rng = random.Random(9)
+    rows = []
+    for group in range(10):
+        text = [f"v{rng.randrange(10**6)}" for _ in range(150)]
+        longer = [*text, *(f"x{rng.randrange(10**6)}" for _ in range(48))]  # 146 shingles of 194 are common
+        rows += [(100 * group + i, " ".join(text)) for i in range(30)] + [(100 * group + 30, " ".join(longer))]
+    got = O9.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter((i, i // 100 * 100) for i, _ in rows)
+
+
 def test_op10(docs, empty):
     rows = corpus()
     tokens = [[*words(r[1]), None] for r in rows]
