@@ -99,22 +99,17 @@ def structure_diff(spark, sf_dir):
     return M.structure_mismatches(g, r, m).select("doc_id", "page", "seq", "result_seq", "type", "golden_shape", "result_shape")
 
 
-def _short(d):
-    """Fuzzy comparison of the first words of each line: what it costs grows with length."""
-    return M.prepared(d.withColumn("content", F.substring_index("content", " ", 8)))
-
-
 @query(None)
 def greedy_match(spark, sf_dir):
     d = lines(spark, sf_dir)
     r = d.filter(F.col("seq") % 5 != 4).withColumn("content", F.concat(F.lit("x "), "content"))
-    return M.greedy_match(_short(d), _short(r))
+    return M.greedy_match(M.prepared(d), M.prepared(r))
 
 
 @query(None)
 def text_coverage(spark, sf_dir):
     d = lines(spark, sf_dir)
-    g, r = _short(d), _short(d.filter(F.col("seq") % 5 != 4).withColumn("content", F.concat(F.lit("x "), "content")))
+    g, r = M.prepared(d), M.prepared(d.filter(F.col("seq") % 5 != 4).withColumn("content", F.concat(F.lit("x "), "content")))
     return M.text_coverage(g, r, M.greedy_match(g, r))
 
 
@@ -122,7 +117,7 @@ def text_coverage(spark, sf_dir):
 def type_breaks(spark, sf_dir):
     d = lines(spark, sf_dir)
     r = d.withColumn("type", F.when(F.col("seq") % 2 == 0, F.lit("table")).otherwise(F.col("type")))
-    return M.greedy_match(_short(d), _short(r)).filter("type_break").select("doc_id", "page", "seq")
+    return M.greedy_match(M.prepared(d), M.prepared(r)).filter("type_break").select("doc_id", "page", "seq")
 
 
 # ---- golden tools ------------------------------------------------------------------------------------------------------------
@@ -144,7 +139,7 @@ def verify_draft_exact(spark, sf_dir):
 
 @query(None)
 def verify_draft(spark, sf_dir):
-    d = lines(spark, sf_dir).withColumn("content", F.substring_index("content", " ", 8))
+    d = lines(spark, sf_dir)
     return D.missing_from(d, d.filter(F.col("seq") % 4 != 2)).select("doc_id", "page", "seq")
 
 
@@ -152,9 +147,8 @@ def verify_draft(spark, sf_dir):
 def locate_drafts(spark, sf_dir):
     from pagewright.plans.inputs import boxes
 
-    d = boxes(spark, sf_dir).withColumn("content", F.substring_index("content", " ", 8))
-    drafts = d.filter(F.col("seq") % 5 == 0).select("doc_id", "page", "seq", "content")
-    return D.locate_drafts(drafts, d.select("doc_id", "page", F.col("seq").cast("int").alias("line_no"), F.col("content").alias("text"), "bbox"))
+    d = boxes(spark, sf_dir)
+    return D.locate_drafts(d.select("doc_id", "page", "seq", "content"), d.select("doc_id", "page", F.col("seq").cast("int").alias("line_no"), F.col("content").alias("text"), "bbox"))
 
 
 _LOSS = LINES_SQL + r""", o AS (SELECT doc_id, page, string_agg(content, ' ' ORDER BY seq) AS t FROM lines GROUP BY doc_id, page), x AS (SELECT doc_id, page, string_agg(content, ' ' ORDER BY seq) AS other FROM lines WHERE seq % 4 <> 2 GROUP BY doc_id, page),

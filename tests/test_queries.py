@@ -50,3 +50,17 @@ def test_entry_without_the_subpackage(monkeypatch):
     found = importlib.util.find_spec
     monkeypatch.setattr(importlib.util, "find_spec", lambda n, *a: None if n in ("pagewright.llm", "corpus_pipeline") else found(n, *a))
     assert set(__spark_entry__.queries()) == set(QUERIES) and set(__spark_entry__.oracle_sql()) == set(SQL)
+
+
+def test_fuzzy_queries_read_whole_lines(spark, tmp_path):
+    """Lines whose first eight words are equal and whose tails differ."""
+    tails = ["quick brown foxes jump over lazy dogs " * 4, "0123456789 " * 14, "zyxwv utsrq ponml kjihg fedcb " * 5]
+    heads = "alpha beta gamma delta epsilon zeta theta iota "
+    text = "\n".join(heads + t.strip() for t in tails)
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    assert all(r["total"] == r["same"] > 400 for r in run("text_coverage"))
+    assert all(len(heads) < r["likeness"] * 200 < 200 for r in run("greedy_match"))
+    assert [r["seq"] for r in run("verify_draft")] == [2]
+    assert run("type_breaks") and {r["seq"] for r in run("type_breaks")} == {0, 2}
+    assert {r["seq"]: r["bbox"][3] - r["bbox"][1] for r in run("locate_drafts")}.keys() == {0, 1, 2}
