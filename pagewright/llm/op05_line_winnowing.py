@@ -3,8 +3,8 @@
 A text is the sequence of its lines that have a word. A window is a shortest run of lines with RUN_WORDS words or more, taken forward
 from each line and backward from each line. Its least line hash is a fingerprint, and any two equal runs of RUN_WORDS words or more
 have a window, and so a fingerprint with its window, in common: that is guaranteed, not likely. Positions are joined on fingerprint
-and window hash with the first place where these occur; matched windows that meet or overlap are extended into maximal runs; and
-every line of a run that occurs at an earlier place is deleted.
+and window hash with the first place where these occur; matched windows that meet or overlap are one run; and every line of a run that
+occurs at an earlier place is deleted. A line next to a matched run is in a window with it, so that runs are maximal.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from pagewright.llm import kernels as K
 from pagewright.llm.common import in_slices, written
 
-#: Words that a repeated run has at least.
-RUN_WORDS = 40
+#: Words that a repeated run has at least: well below a passage of 50 words without its two broken end lines.
+RUN_WORDS = 8
 
 
 def lines(t: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

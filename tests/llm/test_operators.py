@@ -155,6 +155,17 @@ def test_op5(spark, docs, empty):
     assert O5.deduplicate(empty).count() == 0
 
 
+def test_op5_broken_passage(spark):
+    """A passage of 54 words that begins and ends inside lines: its whole line in the middle, of 20 words, goes."""
+    word = iter(f"u{i}" for i in range(1000))
+    text = lambda n: " ".join(next(word) for _ in range(n))
+    start, middle, end = text(17), text(20), text(17)
+    rows = [(i, f"{text(9)} {start}\n{middle}\n{end} {text(9)}") for i in range(3)]
+    got = O5.digest(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in got] == [0, 1, 1]
+    assert [r["kept_text"] for r in got[1:]] == ["\n".join(t.split("\n")[::2]) for _, t in rows[1:]]
+
+
 def test_op6(docs, empty):
     got = Counter(tuple(r) for r in O6.deduplicate(docs).collect())
     want = O6.brute_force([r[0] for r in corpus()], [r[1] for r in corpus()])
