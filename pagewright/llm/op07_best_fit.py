@@ -54,20 +54,12 @@ class _Lengths:
 
     def fill(self, room: int) -> int:
         """Tokens that fit when the longest fitting piece is taken again and again."""
-        used, taken = 0, {}
-        while room > 0 and (n := self.longest(room)) > 0:
-            k = min(room // n, self.count[n] - taken.get(n, 0))
-            if k <= 0:
-                room_below = n - 1
-                n = self.longest(room_below)
-                if n <= 0:
-                    break
-                k = min(room // n, self.count[n] - taken.get(n, 0))
-                if k <= 0:
-                    break
-            taken[n] = taken.get(n, 0) + k
+        used, most = 0, room
+        while (n := self.longest(min(most, room))) > 0:
+            k = min(room // n, self.count[n])
             used += k * n
             room -= k * n
+            most = n - 1  # no more of n fits or is left
         return used
 
 

@@ -191,6 +191,18 @@ def test_op7(docs, empty):
     assert O7.best_fit(empty).count() == 0
 
 
+def test_op7_filling_passes_used_up_lengths():
+    assert O7._Lengths(np.array([5, 4, 3, 2, 1]), 20).fill(20) == 15
+    assert O7._Lengths(np.array([9, 7, 7, 4, 3, 2]), 40).fill(26) == 26
+    for seed in range(50):
+        x = np.random.default_rng(seed).integers(1, 60, 30)
+        room, want = 200, 0
+        for n in sorted(x.tolist(), reverse=True):
+            if n <= room - want:
+                want += n
+        assert O7._Lengths(x, 200).fill(room) == want
+
+
 def test_op8(docs, empty):
     got = O8.mix(docs).toPandas()
     assert len(got) == len(corpus()) and (got["taken"] <= 2 * got["size"]).all()
