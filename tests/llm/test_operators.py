@@ -147,6 +147,22 @@ def test_op4(spark, docs, empty):
     assert O4.judge(empty, labels).count() == 0
 
 
+def test_op4_trees_have_rows_of_their_own(monkeypatch):
+    grown = []
+    monkeypatch.setattr(O4.Forest, "_grow", lambda self, x, rng: grown.append(x))
+    O4.Forest(np.arange(O4.TREES * O4.TREE_ROWS + 100.0)[:, None])
+    assert len(np.unique(np.concatenate(grown))) == O4.TREES * O4.TREE_ROWS
+
+
+def test_op4_threshold_does_not_depend_on_row_order(spark, monkeypatch):
+    monkeypatch.setattr(O4, "LABELLED_ROWS", 10)
+    rng = random.Random(4)
+    rows = [(i % 10, "".join(rng.choice("abc DE#*.! ") for _ in range(rng.randint(120, 900)))) for i in range(400)]
+    table = O4._table(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text").localCheckpoint()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    assert len({O4.fit(t, labels)[1] for t in (table, table.orderBy("n_words"), table.orderBy(F.desc("n_symbols")), table.repartition(5))}) == 1
+
+
 def test_op5(spark, docs, empty):
     d = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(corpus())], SCHEMA)
     got = [r["text"] for r in O5.deduplicate(d).orderBy("doc_id").collect()]
