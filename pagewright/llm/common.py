@@ -51,6 +51,14 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+def own_name(df: DataFrame, base: str) -> str:
+    """A column name like `base` that `df` doesn't have in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,16 +6,17 @@ Documents are sets of distinct word shingles (64-bit hashes). Equal sets are one
 1. Prefixes. In any fixed order of all shingles, two linked sets of sizes n and m have a common shingle among their first
    n - ceil(0.75 n) + 1 and m - ceil(0.75 m) + 1 ones. The order puts frequent shingles last, by a counting sketch of all documents (of
    fixed size), so that common passages stay out of prefixes; any sketch gives the same result.
-2. Groups. Of each prefix shingle's documents, each is compared with one centre: as many comparisons as rows, and copies of one
-   document fall into one component. These components, cut by size, are the groups; the token-group matrix holds for each prefix
-   shingle the groups that have it.
-3. Bound. A document q of a smaller component is joined with the matrix. A shingle that it has in common with a member is in both
-   prefixes, or lies after the end of the prefix that ends first; so the shingles that q shares with a group's prefixes, and those
-   after the least end of q's and the members' prefixes, bound its overlap with any member. Ends are compared with MARKS marks in
-   each prefix. Groups that can't reach the needed overlap stay closed.
-4. Open groups' members are compared with q exactly, if the same bound, from either side, lets the pair through.
-
-No step makes all pairs of a group: pairs are made with a centre, or with members of other components that pass the bound.
+2. Groups. In rounds, each document is compared with two centres at most among those that have its prefix shingles; copies of one
+   document fall into one component. A group is such a component with the single documents that meet it (or, without one, each
+   other's centre), cut by size. The token-group matrix holds the prefix shingles of a group's members: each group's token union.
+3. Bound. A document q is joined with the matrix. A shingle that it has in common with a member is in both prefixes, or lies after
+   the end of the prefix that ends first; so the shingles that q shares with a group's union, and the longer rest of q's and the
+   members' sets after their prefixes, bound its overlap with any member. Groups that can't reach the needed overlap stay closed.
+4. An opened group's members of other components are held against q by a closer bound, with both prefixes and their ends at hand,
+   and those that it lets through are compared exactly.
+
+No step writes all pairs of a group: pairs are made with a centre, or pass the bound of both prefixes. A document is asked about
+members of larger components only, and a component once linked is never compared within itself.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm import kernels as K
-from pagewright.llm.common import in_slices, written
+from pagewright.llm.common import batches_of, in_slices, own_name, written
 
 SHINGLE_WORDS = 5
 #: Similarity as a whole percentage.
@@ -42,12 +43,16 @@ SKETCH_CHUNKS = 64
 FREQUENT = 16
 #: Keys that may be broadcast to skip documents that no comparison needs; with more of them a join alone does it.
 BROADCAST_KEYS = 1_000_000
+#: Level from which a shingle's rows are dealt to 4 tasks, and 4 times as many with each level more.
+SALTED = 11
 #: Steps of size between groups of one component.
-BAND = 1.1
-#: Places in a prefix whose shingles are kept to tell how much of it lies before another prefix's end.
-MARKS = 16
+BAND = 1.03
+#: Hash ranges of a set's sketch, and the share of them in which two sketches agree if their sets are to be compared in a round.
+SKETCH_BINS, SKETCH_SHARE = 64, 0.5
+#: Rows that Python gets at once: sets of long documents have some MB.
+BATCH_ROWS = 512
 #: Most rounds of comparison with centres; they end when a round finds no link.
-STAR_ROUNDS = 6
+STAR_ROUNDS = 4
 
 
 def prefix_length(n):
@@ -83,57 +88,48 @@ def _texts(docs: DataFrame, text_column: str) -> DataFrame:
 
 
 def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, n, key) for each row, and (chunk, counts) rows of each task's sketch, whose counters stop at 255."""
+    """(doc_id, n, key, sketch) for each row, and (chunk, counts) rows of each task's frequencies, whose counters stop at 255."""
     total = docs.agg(F.sum(F.octet_length(F.col(text_column).cast("string")))).first()[0] or 0
     bits = min(max(math.ceil(math.log2(max(total, 1) / SKETCH_BYTES + 1)), SKETCH_LEAST), SKETCH_MOST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(1 << bits, dtype=np.uint8)
         for b in in_slices(batches):
-            n, key, at = [], [], []
+            n, key, sketch, at = [], [], [], []
             for s in document_sets(b.column(1)):
                 n.append(len(s))
                 key.append(set_key(s))
+                sketch.append(sketch_of(s))
                 at.append((s >> np.uint64(64 - bits)).astype(np.uint32))
             where, more = np.unique(np.concatenate(at), return_counts=True) if at else ([], [])
             if len(where):
                 count[where] = np.minimum(count[where].astype(np.int64) + more, 255)
-            yield _rows(b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), None, None)
+            yield _rows(b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(sketch, pa.list_(pa.int32())), None, None)
         if count.any():
             pack = zstandard.ZstdCompressor(level=1).compress
-            yield _rows(None, None, None, pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([pack(x.tobytes()) for x in np.split(count, SKETCH_CHUNKS)], pa.binary()))
+            yield _rows(None, None, None, None, pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([pack(x.tobytes()) for x in np.split(count, SKETCH_CHUNKS)], pa.binary()))
 
     def _rows(*columns) -> pa.RecordBatch:
         m = next(len(c) for c in columns if c is not None)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.nulls(m, k) if c is None else c for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n", "key", "chunk", "counts"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.nulls(m, k) if c is None else c for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n", "key", "sketch", "chunk", "counts"])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, key long, chunk int, counts binary")
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, key long, sketch array<int>, chunk int, counts binary")
 
 
 class Levels:
-    """The level of each sketch counter: 0 for most, then one more for each doubling of the count. A bit for each counter, and the frequent ones."""
+    """The level of each sketch counter, four bits each: 0 for most, then one more for each doubling of the count."""
 
-    def __init__(self, bits: int, at: np.ndarray, level: np.ndarray):
-        self.bits, self.at, self.level = bits, at, level
-        flags = np.zeros(1 << bits, dtype=bool)
-        flags[at] = True
-        self.frequent = np.packbits(flags)
+    def __init__(self, bits: int, packed: np.ndarray):
+        self.bits, self.packed = bits, packed
 
-    def of(self, hashes: np.ndarray) -> np.ndarray | None:
-        """Levels of the hashes, or None if all are 0."""
+    def of(self, hashes: np.ndarray) -> np.ndarray:
         at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        hit = (self.frequent[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-        if not hit.any():
-            return None
-        out = np.zeros(len(hashes), dtype=np.uint8)
-        some = np.flatnonzero(hit)
-        out[some] = self.level[np.searchsorted(self.at, at[some])]
-        return out
+        return (self.packed[at >> 1] >> ((at & 1) << 2).astype(np.uint8)) & 15
 
 
 def _levels(table: DataFrame) -> Levels:
-    """The sketches of all tasks added up, chunk by chunk; only frequent counters come to the driver, 2 ** SKETCH_MOST at the very most."""
+    """The sketches of all tasks added up, chunk by chunk; half a byte a counter comes to the driver, 2 ** SKETCH_MOST of them at most."""
 
     def add(t: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -142,40 +138,37 @@ def _levels(table: DataFrame) -> Levels:
             c = np.frombuffer(unpack(x.as_py()), dtype=np.uint8).astype(np.int32)
             total = c if total is None else total + c
         floor = max(float(FREQUENT), 2.0 * float(total.mean()))
+        level = np.zeros(len(total), dtype=np.uint8)
         at = np.flatnonzero(total >= floor)
-        level = 1 + np.floor(np.log2(total[at] / floor)).astype(np.int32)
-        chunk = t.column("chunk")[0].as_py()
-        return pa.table({"size": pa.array([len(total)] * len(at), pa.int64()), "at": pa.array(at + chunk * len(total), pa.int64()), "level": pa.array(level)})
+        level[at] = np.minimum(1 + np.floor(np.log2(total[at] / floor)), 15)
+        return pa.table({"chunk": t.column("chunk")[:1], "levels": pa.array([zstandard.ZstdCompressor(level=1).compress((level[::2] | level[1::2] << 4).tobytes())], pa.binary())})
 
-    got = table.filter("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "size long, at long, level int").toArrow()
-    bits = int(math.log2(got.column(0)[0].as_py() * SKETCH_CHUNKS)) if len(got) else SKETCH_LEAST
-    at, level = got.column(1).to_numpy(), got.column(2).to_numpy().astype(np.uint8)
-    order = np.argsort(at)
-    return Levels(bits, at[order], level[order])
+    got = table.filter("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, levels binary").orderBy("chunk").toArrow()
+    if not len(got):
+        return Levels(SKETCH_LEAST, np.zeros(1 << SKETCH_LEAST - 1, dtype=np.uint8))
+    packed = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), dtype=np.uint8) for x in got.column("levels")])
+    return Levels(len(packed).bit_length(), packed)
 
 
 def _in_order(s: np.ndarray, levels: Levels) -> np.ndarray:
     """The set in the order of all shingles: by level, and by hash within a level."""
     lev = levels.of(s)
-    return s if lev is None else s[np.argsort(lev, kind="stable")]
+    return s[np.argsort(lev, kind="stable")] if lev.any() else s
 
 
-def marks_of(s: np.ndarray, levels: Levels) -> np.ndarray:
-    """MARKS places in the order, as numbers: of the last shingle of each k-th part of the set's prefix; the last is the prefix's end."""
-    p = prefix_length(len(s))
-    s = _in_order(s, levels)[(p * np.arange(1, MARKS + 1) + MARKS - 1) // MARKS - 1]
-    lev = levels.of(s)
-    high = np.zeros(len(s), dtype=np.int64) if lev is None else lev.astype(np.int64)
-    return (high << 56) + (s >> np.uint64(8)).astype(np.int64)
+def places_of(s: np.ndarray, levels: Levels) -> np.ndarray:
+    """The set's prefix as ascending numbers: places in the order of all shingles."""
+    s = _in_order(s, levels)[: prefix_length(len(s))]
+    return (levels.of(s).astype(np.int64) << 56) + (s >> np.uint64(8)).astype(np.int64)
 
 
-def _before(marks: Column, end: Column, p: Column) -> Column:
-    """At least so many shingles of a prefix lie before `end`."""
-    return F.ceil(p * F.size(F.filter(marks, lambda x: x < end)) / MARKS)
+def _before(places: Column, end: Column) -> Column:
+    """How many shingles of a prefix lie before `end`, or at it."""
+    return F.size(F.filter(places, lambda x: x <= end))
 
 
 def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
-    """(token, key, n): each set's prefix shingles; copies within a task once."""
+    """(token, salt, key, n): each set's prefix shingles; copies within a task once. Rows of very frequent shingles are dealt to several salts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, set()
@@ -193,25 +186,34 @@ def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
                 counts.append(p)
             if tokens:
                 c = np.array(counts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(keys, dtype=np.int64), c)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), c))], names=["token", "key", "n"])
+                token, key = np.concatenate(tokens), np.repeat(np.array(keys, dtype=np.int64), c)
+                salts = np.int64(1) << 2 * np.maximum(level.of(token).astype(np.int64) - SALTED + 1, 0)
+                salt = np.where(salts > 1, 1 + (key & salts - 1), 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(key), pa.array(np.repeat(np.array(sizes, dtype=np.int32), c))], names=["token", "salt", "key", "n"])
+
+    return _texts(docs, text_column).mapInArrow(run, "token long, salt int, key long, n int")
+
 
-    return _texts(docs, text_column).mapInArrow(run, "token long, key long, n int")
+def sketch_of(s: np.ndarray) -> np.ndarray:
+    """The least shingle of each of SKETCH_BINS equal hash ranges that has one: range and 24 bits. Like sets have like sketches."""
+    bins = np.arange(SKETCH_BINS + 1, dtype=np.uint64) << np.uint64(64 - int(math.log2(SKETCH_BINS)))
+    at = np.append(np.searchsorted(s, bins[:-1]), len(s))
+    full = np.flatnonzero(at[1:] > at[:-1])
+    return (full << 24 | (s[at[full]] & np.uint64(0xFFFFFF)).astype(np.int64)).astype(np.int32)
 
 
-def _sets_of(docs: DataFrame, keys: DataFrame, text_column: str, name: str, levels=None) -> DataFrame:
-    """(key, hashes as bytes), or (key, marks) if levels are given, of the sets whose key is in `keys` (key), stored. If the keys are few they are broadcast to leave out other documents early."""
+def _sets_of(docs: DataFrame, keys: DataFrame, levels, text_column: str) -> DataFrame:
+    """(key, hashes as bytes, places of the prefix) of the sets whose key is in `keys` (key), stored. If the keys are few they are broadcast to leave out other documents early."""
     spark = docs.sparkSession
-    keys = written(keys.select("key").distinct(), name + "-keys")
     few = None
     if keys.count() <= BROADCAST_KEYS:
-        few = spark.sparkContext.broadcast(np.sort(keys.toArrow().column(0).to_numpy()))
+        few = spark.sparkContext.broadcast(np.sort(keys.select("key").toArrow().column(0).to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         wanted = few.value if few is not None else None
-        level = levels.value if levels is not None else None
-        for b in in_slices(batches):
-            key, data = [], []
+        for b in in_slices(batches, 512):
+            key, data, places = [], [], []
             for s in document_sets(b.column(0)):
                 if not s.size or (k := set_key(s)) in seen:
                     continue
@@ -219,15 +221,15 @@ def _sets_of(docs: DataFrame, keys: DataFrame, text_column: str, name: str, leve
                     continue
                 seen.add(k)
                 key.append(k)
-                data.append(s.tobytes() if level is None else marks_of(s, level).tolist())
+                data.append(s.tobytes())
+                places.append(places_of(s, levels.value))
             if key:
-                values = pa.array(data, pa.binary() if level is None else pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), values], names=["key", "hashes" if level is None else "marks"])
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(data, pa.binary()), pa.array(places, pa.list_(pa.int64()))], names=["key", "hashes", "places"])
 
-    sets = _texts(docs, text_column).mapInArrow(run, "key long, hashes binary" if levels is None else "key long, marks array<long>")
+    sets = _texts(docs, text_column).mapInArrow(run, "key long, hashes binary, places array<long>")
     if few is None:
-        sets = sets.join(keys, "key", "left_semi")
-    return written(sets.dropDuplicates(["key"]), name)
+        sets = sets.join(keys.select("key"), "key", "left_semi")
+    return written(sets.dropDuplicates(["key"]), "jaccard-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -263,75 +265,97 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
+def _prefix(n: Column) -> Column:
+    return n - F.ceil(n * PERCENT / 100) + 1
+
+
 def _near_size(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
-def _star(runs: DataFrame) -> DataFrame:
-    """(a, b, s): each row's key with its run's centre, where sizes allow a link, and the number of shared prefix shingles seen.
+def _centres(rows: DataFrame) -> DataFrame:
+    """(a, b, s, w): each key with the centres of its shingles whose size allows a link, how many shingles have it, and its weight."""
+    return rows.filter((F.col("key") != F.col("c.key")) & _near_size(F.col("n"), F.col("c.n"))).groupBy(F.col("key").alias("a"), F.col("c.key").alias("b")).agg(F.count("*").alias("s"), F.min("c.w").alias("w"))
+
+
+def _alike(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs whose sketches agree enough for a comparison."""
+    both = pairs.join(sizes.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a").join(sizes.select(F.col("key").alias("b"), F.col("sketch").alias("y")), "b")
+    return both.filter(F.size(F.array_intersect("x", "y")) >= SKETCH_SHARE * F.greatest(F.size("x"), F.size("y"))).drop("x", "y")
+
+
+def _star(pairs: DataFrame) -> DataFrame:
+    """(a, b): of each key's pairs two at most: with the centre that most of its shingles have, and with one of the largest component.
 
-    Only pairs that share a good part of their prefixes are kept: this step may miss links, the matrix finds them.
+    So there are two pairs for each key at most, however large a group; a round may miss links, the matrix finds them.
     """
-    n, m = F.col("n"), F.col("centre_n")
-    p = n - F.ceil(n * PERCENT / 100) + 1
-    rows = runs.filter((F.col("key") != F.col("centre")) & _near_size(n, m))
-    return rows.groupBy(F.col("key").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("s"), F.first("n").alias("n")).filter(F.col("s") * 10 >= p * 3).select("a", "b")
+    tie = F.xxhash64("a", "b")
+    best = pairs.groupBy("a").agg(F.max(F.struct("s", tie, "b"))["b"].alias("near"), F.min(F.struct("w", tie, "b"))["b"].alias("large"))
+    return best.select("a", F.explode(F.array_distinct(F.array("near", "large"))).alias("b"))
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, text_column: str = "text") -> DataFrame:
     """(key, label) of all classes that are linked with another. `classes`: what `_classes` gave, stored."""
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(_levels(classes))
-    by_token = Window.partitionBy("token")
-    centre = F.min(F.struct("key", "n")).over(by_token)
-    runs = _prefixes(docs, levels, text_column).withColumn("c", centre).withColumn("last", F.max("key").over(by_token)).filter("c.key <> last")
-    runs = written(runs.select("token", "key", "n", F.col("c.key").alias("centre"), F.col("c.n").alias("centre_n")).distinct(), "jaccard-runs")
-
-    stars = written(_star(runs), "jaccard-stars")
-    sets = _sets_of(docs, stars.select(F.col("a").alias("key")).unionByName(stars.select(F.col("b").alias("key"))), text_column, "jaccard-sets")
-    links = written(_verified(stars, sets), "jaccard-links")
+    by_token = Window.partitionBy("token", "salt")
+    runs = _prefixes(docs, levels, text_column).withColumn("c", F.min(F.struct("key", "n", F.lit(-1).cast("long").alias("w"))).over(by_token)).withColumn("last", F.max("key").over(by_token))
+    # A shingle that one set alone has can't link it; of salted ones that isn't known here.
+    runs = written(runs.filter((F.col("salt") > 0) | (F.col("c.key") != F.col("last"))).select("token", "key", "n", "c").distinct(), "jaccard-runs")
+
+    sizes = runs.select("key", F.col("n").cast("long").alias("n")).distinct()
+    sizes = written(classes.filter("key IS NOT NULL").select("key", "n", "sketch").join(sizes.select("key"), "key", "left_semi").dropDuplicates(["key"]), "jaccard-sizes")
+    alike = written(_alike(_centres(runs), sizes), "jaccard-alike")
+    ends = lambda pairs: pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    sets = _sets_of(docs, written(ends(alike), "jaccard-keys"), levels, text_column)
+    links = written(_verified(_star(alike), sets), "jaccard-links")
     labels = components(links)
-    sizes = written(runs.select("key", "n").distinct(), "jaccard-sizes")
     rows = runs.select("token", "key", "n")
     for round_ in range(1, STAR_ROUNDS + 1):
-        # Rows of shingles that two components have; a centre is of the largest component there, another one each round.
-        label = F.coalesce("label", "key")
-        members = sizes.join(labels, "key", "left").select("key", label.alias("label"))
-        weight = members.groupBy("label").agg(F.count("*").alias("weight"))
+        # Rows of shingles that two components have, with a centre of the largest component there, another one each round.
+        members = sizes.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
+        weight = written(members.groupBy("label").agg(F.count("*").alias("weight")), "jaccard-weights")
         members = members.join(weight, "label")
-        mixed = F.min("label").over(by_token) != F.max("label").over(by_token)
-        rows = written(rows.select("token", "key", "n").join(members, "key").withColumn("mixed", mixed).filter("mixed").drop("mixed"), "jaccard-mixed")
+        rows = rows.select("token", "key", "n").join(members, "key")
+        centre = F.min(F.struct((-F.col("weight")).alias("w"), F.xxhash64(F.lit(round_), "key").alias("h"), "key", "n", "label"))
+        tokens = written(rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre.alias("c")).filter("low <> high").select("token", "c"), "jaccard-tokens")
+        rows = written(rows.join(tokens, "token"), "jaccard-mixed")
         if round_ == STAR_ROUNDS:
             break
-        centre = F.min(F.struct((-F.col("weight")).alias("w"), F.xxhash64(F.lit(round_), "key").alias("h"), "key", "n", "label")).over(by_token)
-        again = rows.withColumn("c", centre).filter("c.label <> label").select("key", "n", F.col("c.key").alias("centre"), F.col("c.n").alias("centre_n"))
-        found = written(_verified(_star(again), sets), "jaccard-links")
+        # Keys without a stored set have no like centre so far, and are left to the matrix.
+        asked = rows.filter("c.label <> label").join(sets.select("key"), "key", "left_semi")
+        found = written(_verified(_star(_alike(_centres(asked), sizes)), sets), "jaccard-links")
         if found.isEmpty():
             break
         links = links.unionByName(found)
         labels = components(written(links, "jaccard-links"))
 
-    # The token-group matrix: groups are components cut by size, named by (label, band); what a document meets is another component's group.
-    marks = _sets_of(docs, rows, text_column, "jaccard-marks", levels)
+    # The token-group matrix. Only documents with a row here can have a link to another component.
     n, m = F.col("n"), F.col("m")
-    prefix = lambda size: size - F.ceil(size * PERCENT / 100) + 1
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(BAND))
-    # Only documents with a row here can have a link to another component.
-    members = written(sizes.join(members, "key").join(marks, "key").withColumn("band", band).withColumn("end", F.element_at("marks", -1)), "jaccard-members")
-    rows = rows.select("token", "key").join(members.select("key", "n", "label", "weight", "band", "end"), "key")
-    matrix = rows.groupBy("token", F.col("label").alias("g"), F.col("band").alias("g_band")).agg(F.first("weight").alias("g_weight"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("end").alias("g_end"))
-    larger = (F.col("g_weight") > F.col("weight")) | (F.col("g_weight") == F.col("weight")) & (F.col("g") > F.col("label"))
+    rank = F.struct("weight", "label")
+    hub = rows.groupBy("key").agg(F.first("n").cast("long").alias("n"), F.first(rank).alias("rank"), F.min(F.struct("c.w", "c.h", "c.label"))["label"].alias("hub"))
+    group = F.when(F.col("rank.weight") > 1, F.col("rank.label")).otherwise(F.col("hub"))
+    band = F.floor(F.log(n.cast("double")) / math.log(BAND))
+    members = written(hub.withColumn("g", group).withColumn("band", band).drop("hub"), "jaccard-members")
+    rows = rows.select("token", "key").join(members, "key")
+    matrix = rows.groupBy("token", "g", "band").agg(F.max("rank").alias("top"), F.min("n").alias("least"), F.max("n").alias("most"))
     sizes_near = (F.col("most") * 100 >= n * PERCENT) & (n * 100 >= F.col("least") * PERCENT)
-    met = rows.drop("end").join(matrix, "token").filter(larger & sizes_near).groupBy("key", "n", "g", "g_band").agg(F.count("*").alias("s"), F.min("least").alias("least"), F.min("g_end").alias("g_end"))
-    met = met.join(members.select("key", "marks", "end"), "key")
-    smallest = F.greatest(F.col("least"), F.ceil(n * PERCENT / 100))
-    opened = met.filter(linked(F.col("s") + n - _before(F.col("marks"), F.col("g_end"), prefix(n)), n, smallest)).drop("least", "g_end")
-    inside = members.select(F.col("label").alias("g"), F.col("band").alias("g_band"), F.col("key").alias("b"), n.alias("m"), F.col("marks").alias("m_marks"), F.col("end").alias("m_end"))
-    q_most, m_most = n - _before(F.col("marks"), F.col("m_end"), prefix(n)), m - _before(F.col("m_marks"), F.col("end"), prefix(m))
-    passes = _near_size(n, m) & linked(F.col("s") + F.least(q_most, m_most), n, m)
-    pairs = written(opened.withColumnRenamed("key", "a").join(inside, ["g", "g_band"]).filter(passes).select("a", "b"), "jaccard-opened")
-    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct().join(sets.select("key"), "key", "left_anti")
-    sets = sets.unionByName(_sets_of(docs, ends, text_column, "jaccard-more-sets"))
+    met = rows.select("token", "key", "n", "rank").join(matrix, "token").filter((F.col("top") > F.col("rank")) & sizes_near).groupBy("key", "n", "rank", "g", "band").agg(F.count("*").alias("s"), F.min("least").alias("least"), F.max("most").alias("most"))
+    # What is in one prefix alone lies after the end of the other, so that the overlap is s and the longer rest at most. What is
+    # missing to the overlap that a link needs is least at one end of the members' sizes.
+    missing = lambda size: (n + size) * PERCENT - (100 + PERCENT) * (F.col("s") + F.greatest(n - _prefix(n), size - _prefix(size)))
+    low, high = F.greatest(F.col("least"), F.ceil(n * PERCENT / 100)), F.least(F.col("most"), F.floor(n * 100 / PERCENT))
+    opened = written(met.filter(F.least(missing(low), missing(high)) <= 100 + PERCENT).select("g", "band", F.col("key").alias("a"), "n", "rank"), "jaccard-groups")
+    inside = members.join(opened.select("g", "band").distinct(), ["g", "band"], "left_semi")
+    more = opened.select(F.col("a").alias("key")).unionByName(inside.select("key")).distinct().join(sets.select("key"), "key", "left_anti")
+    sets = sets.unionByName(_sets_of(docs, written(more, "jaccard-keys"), levels, text_column))
+    prefix = sets.select("key", "places", F.element_at("places", -1).alias("end"))
+    opened = opened.join(prefix.withColumnRenamed("key", "a"), "a")
+    inside = inside.join(prefix, "key").select("g", "band", F.col("key").alias("b"), n.alias("m"), F.col("rank").alias("m_rank"), F.col("places").alias("m_places"), F.col("end").alias("m_end"))
+    both = F.size(F.array_intersect("places", "m_places"))
+    rest = F.least(n - _before(F.col("places"), F.col("m_end")), m - _before(F.col("m_places"), F.col("end")))
+    passes = (F.col("m_rank") > F.col("rank")) & (F.col("m_rank.label") != F.col("rank.label")) & _near_size(n, m) & (both > 0) & linked(both + rest, n, m)
+    pairs = written(opened.join(inside, ["g", "band"]).filter(passes).select("a", "b"), "jaccard-opened")
     return components(written(links.unionByName(_verified(pairs, sets)), "jaccard-links"))
 
 
@@ -342,19 +366,22 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     linked; a component's id is its least non-null doc_id. A null id gives a row with a null doc_id. Empty table: no rows. Other
     columns are ignored.
     """
-    classes = written(_classes(docs, id_column, text_column), "jaccard-classes")
-    labels = link_classes(docs, classes, text_column)
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        classes = written(_classes(docs, id_column, text_column), "jaccard-classes")
+        labels = link_classes(docs, classes, text_column)
     rows = classes.filter("key IS NOT NULL").select("doc_id", "n", "key")
     named = rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    least = named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    named = written(named, "jaccard-named")
+    least = written(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
     found = named.filter("n > 0").join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return found.unionByName(named.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`docs` without near-duplicates: of each component the row with the least id stays (of rows with equal ids one), with its columns."""
-    mine = written(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-input")
-    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col("__row").alias("row"))
-    found = jaccard_components(mine, "__row", text_column).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__component"))
-    first = mine.join(found, "__row").groupBy("__component").agg(F.min(order)["row"].alias("__row"))
-    return mine.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
+    row = own_name(docs, "__row")
+    mine = written(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-input")
+    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col(row).alias("row"))
+    found = jaccard_components(mine, row, text_column).select(F.col("doc_id").alias(row), "component_id")
+    first = mine.select(F.col(id_column), row).join(found, row).groupBy("component_id").agg(F.min(order)["row"].alias(row))
+    return mine.join(first.select(row), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
