@@ -52,7 +52,7 @@ SKETCH_BINS, SKETCH_SHARE = 64, 0.5
 #: Rows that Python gets at once: sets of long documents have some MB.
 BATCH_ROWS = 512
 #: Most rounds of comparison with centres; they end when a round finds no link.
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 
 
 def prefix_length(n):
@@ -65,22 +65,28 @@ def linked(both, n, m):
     return (100 + PERCENT) * both >= PERCENT * (n + m)
 
 
-def document_sets(column: pa.Array, k: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, A-Z as a-z."""
+def block_sets(column: pa.Array, k: int = SHINGLE_WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, hashes, ends) for runs of rows: each text's sorted distinct shingle hashes, A-Z as a-z, and where they end."""
     for i, j, t in K.blocks(column):
         s, e, doc = K.words(t)
         h, doc = K.shingles(K.span_hashes(t.data, s, e, lower=True), doc, j - i, k)
-        v, ends = K.distinct_per_text(h, doc, j - i)
-        for x in range(j - i):
-            yield v[ends[x] : ends[x + 1]]
+        yield i, j, *K.distinct_per_text(h, doc, j - i)
 
 
-def set_key(s: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    if not s.size:
-        return 0
+def keys_of(v: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A signed 64-bit name of each set; 0 for the empty one."""
+    size = np.diff(ends)
     with np.errstate(over="ignore"):
-        return int(K.mix(np.array([K.mix(s).sum() ^ K.mix(s * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s.size)).sum() * np.uint64(0xC2B2AE3D27D4EB4F)], dtype=K.U64)).view(np.int64)[0])
+        one = _sums(K.mix(v), ends)
+        two = _sums(K.mix(v * np.uint64(0x9E3779B97F4A7C15) + np.repeat(size, size).astype(K.U64)), ends)
+        key = K.mix(one ^ two * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
+    key[size == 0] = 0
+    return key
+
+
+def _sums(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    c = np.concatenate([np.zeros(1, dtype=K.U64), np.cumsum(x)])
+    return c[ends[1:]] - c[ends[:-1]]
 
 
 def _texts(docs: DataFrame, text_column: str) -> DataFrame:
@@ -96,15 +102,16 @@ def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         count = np.zeros(1 << bits, dtype=np.uint8)
         for b in in_slices(batches):
             n, key, sketch, at = [], [], [], []
-            for s in document_sets(b.column(1)):
-                n.append(len(s))
-                key.append(set_key(s))
-                sketch.append(sketch_of(s))
-                at.append((s >> np.uint64(64 - bits)).astype(np.uint32))
-            where, more = np.unique(np.concatenate(at), return_counts=True) if at else ([], [])
-            if len(where):
-                count[where] = np.minimum(count[where].astype(np.int64) + more, 255)
-            yield _rows(b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(sketch, pa.list_(pa.int32())), None, None)
+            for _, _, v, ends in block_sets(b.column(1)):
+                n.append(np.diff(ends))
+                key.append(keys_of(v, ends))
+                sketch.append(sketches_of(v, ends))
+                at.append((v >> np.uint64(64 - bits)).astype(np.uint32))
+            if not n:
+                continue
+            where, more = np.unique(np.concatenate(at), return_counts=True)
+            count[where] = np.minimum(count[where].astype(np.int64) + more, 255)
+            yield _rows(b.column(0), pa.array(np.concatenate(n)), pa.array(np.concatenate(key)), pa.concat_arrays(sketch), None, None)
         if count.any():
             pack = zstandard.ZstdCompressor(level=1).compress
             yield _rows(None, None, None, None, pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([pack(x.tobytes()) for x in np.split(count, SKETCH_CHUNKS)], pa.binary()))
@@ -150,16 +157,23 @@ def _levels(table: DataFrame) -> Levels:
     return Levels(len(packed).bit_length(), packed)
 
 
-def _in_order(s: np.ndarray, levels: Levels) -> np.ndarray:
-    """The set in the order of all shingles: by level, and by hash within a level."""
-    lev = levels.of(s)
-    return s[np.argsort(lev, kind="stable")] if lev.any() else s
+def prefixes(v: np.ndarray, ends: np.ndarray, levels: Levels) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each set's prefix in the order of all shingles (by level, and by hash within a level): hashes, levels, and where they end."""
+    size = np.diff(ends)
+    doc = np.repeat(np.arange(len(size)), size)
+    lev = levels.of(v)
+    if lev.any():
+        order = np.argsort(doc * 16 + lev, kind="stable")
+        v, lev = v[order], lev[order]
+    keep = np.arange(len(v)) - ends[:-1][doc] < prefix_length(size)[doc]
+    cut = np.zeros(len(ends), dtype=np.int64)
+    np.cumsum(np.where(size > 0, prefix_length(size), 0), out=cut[1:])
+    return v[keep], lev[keep], cut
 
 
-def places_of(s: np.ndarray, levels: Levels) -> np.ndarray:
-    """The set's prefix as ascending numbers: places in the order of all shingles."""
-    s = _in_order(s, levels)[: prefix_length(len(s))]
-    return (levels.of(s).astype(np.int64) << 56) + (s >> np.uint64(8)).astype(np.int64)
+def places(v: np.ndarray, lev: np.ndarray) -> np.ndarray:
+    """Shingles as numbers: places in the order of all shingles."""
+    return (lev.astype(np.int64) << 56) + (v >> np.uint64(8)).astype(np.int64)
 
 
 def _before(places: Column, end: Column) -> Column:
@@ -173,33 +187,29 @@ def _prefixes(docs: DataFrame, levels, text_column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, set()
         for b in in_slices(batches):
-            tokens, keys, sizes, counts = [], [], [], []
-            for s in document_sets(b.column(0)):
-                n = len(s)
-                if not n or (key := set_key(s)) in seen:
-                    continue
-                seen.add(key)
-                p = prefix_length(n)
-                tokens.append(_in_order(s, level)[:p])
-                keys.append(key)
-                sizes.append(n)
-                counts.append(p)
-            if tokens:
-                c = np.array(counts)
-                token, key = np.concatenate(tokens), np.repeat(np.array(keys, dtype=np.int64), c)
-                salts = np.int64(1) << 2 * np.maximum(level.of(token).astype(np.int64) - SALTED + 1, 0)
-                salt = np.where(salts > 1, 1 + (key & salts - 1), 0).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(key), pa.array(np.repeat(np.array(sizes, dtype=np.int32), c))], names=["token", "salt", "key", "n"])
+            for i, j, v, ends in block_sets(b.column(0)):
+                key, size = keys_of(v, ends), np.diff(ends)
+                fresh = np.array([n > 0 and k not in seen and not seen.add(k) for k, n in zip(key.tolist(), size.tolist(), strict=True)], dtype=bool)
+                token, lev, cut = prefixes(v, ends, level)
+                count = np.diff(cut)
+                keep, doc = np.repeat(fresh, count), np.repeat(np.arange(j - i), count)
+                token, lev, doc = token[keep], lev[keep], doc[keep]
+                salts = np.int64(1) << 2 * np.maximum(lev.astype(np.int64) - SALTED + 1, 0)
+                salt = np.where(salts > 1, 1 + (key[doc] & salts - 1), 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(salt), pa.array(key[doc]), pa.array(size[doc].astype(np.int32))], names=["token", "salt", "key", "n"])
 
     return _texts(docs, text_column).mapInArrow(run, "token long, salt int, key long, n int")
 
 
-def sketch_of(s: np.ndarray) -> np.ndarray:
-    """The least shingle of each of SKETCH_BINS equal hash ranges that has one: range and 24 bits. Like sets have like sketches."""
-    bins = np.arange(SKETCH_BINS + 1, dtype=np.uint64) << np.uint64(64 - int(math.log2(SKETCH_BINS)))
-    at = np.append(np.searchsorted(s, bins[:-1]), len(s))
-    full = np.flatnonzero(at[1:] > at[:-1])
-    return (full << 24 | (s[at[full]] & np.uint64(0xFFFFFF)).astype(np.int64)).astype(np.int32)
+def sketches_of(v: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """The least shingle of each of SKETCH_BINS equal hash ranges that has one, for each set: range and 24 bits. Like sets have like
+    sketches."""
+    bin_ = (v >> np.uint64(64 - int(math.log2(SKETCH_BINS)))).astype(np.int64)
+    first = np.ones(len(v), dtype=bool)
+    first[1:] = bin_[1:] != bin_[:-1]
+    first[ends[:-1][ends[:-1] < len(v)]] = True
+    at = np.flatnonzero(first)
+    return K.list_array((bin_[at] << 24 | (v[at] & np.uint64(0xFFFFFF)).astype(np.int64)).astype(np.int32), np.searchsorted(at, ends))
 
 
 def _sets_of(docs: DataFrame, keys: DataFrame, levels, text_column: str) -> DataFrame:
@@ -213,18 +223,17 @@ def _sets_of(docs: DataFrame, keys: DataFrame, levels, text_column: str) -> Data
         seen: set[int] = set()
         wanted = few.value if few is not None else None
         for b in in_slices(batches, 512):
-            key, data, places = [], [], []
-            for s in document_sets(b.column(0)):
-                if not s.size or (k := set_key(s)) in seen:
-                    continue
-                if wanted is not None and ((i := int(np.searchsorted(wanted, k))) == len(wanted) or wanted[i] != k):
-                    continue
-                seen.add(k)
-                key.append(k)
-                data.append(s.tobytes())
-                places.append(places_of(s, levels.value))
-            if key:
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(data, pa.binary()), pa.array(places, pa.list_(pa.int64()))], names=["key", "hashes", "places"])
+            for _, _, v, ends in block_sets(b.column(0)):
+                key = keys_of(v, ends)
+                mine = np.diff(ends) > 0
+                if wanted is not None:
+                    mine &= wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key if len(wanted) else False
+                pick = [x for x in np.flatnonzero(mine).tolist() if key[x] not in seen and not seen.add(key[x])]
+                if pick:
+                    token, lev, cut = prefixes(v, ends, levels.value)
+                    place = places(token, lev)
+                    data = [v[ends[x] : ends[x + 1]].tobytes() for x in pick]
+                    yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(data, pa.binary()), pa.array([place[cut[x] : cut[x + 1]] for x in pick], pa.list_(pa.int64()))], names=["key", "hashes", "places"])
 
     sets = _texts(docs, text_column).mapInArrow(run, "key long, hashes binary, places array<long>")
     if few is None:
@@ -281,7 +290,7 @@ def _centres(rows: DataFrame) -> DataFrame:
 def _alike(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """The pairs whose sketches agree enough for a comparison."""
     both = pairs.join(sizes.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a").join(sizes.select(F.col("key").alias("b"), F.col("sketch").alias("y")), "b")
-    return both.filter(F.size(F.array_intersect("x", "y")) >= SKETCH_SHARE * F.greatest(F.size("x"), F.size("y"))).drop("x", "y")
+    return both.filter(F.size(F.array_intersect("x", "y")) >= SKETCH_SHARE * F.greatest(F.size("x"), F.size("y"))).select("a", "b")
 
 
 def _star(pairs: DataFrame) -> DataFrame:
@@ -299,16 +308,17 @@ def link_classes(docs: DataFrame, classes: DataFrame, text_column: str = "text")
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(_levels(classes))
     by_token = Window.partitionBy("token", "salt")
-    runs = _prefixes(docs, levels, text_column).withColumn("c", F.min(F.struct("key", "n", F.lit(-1).cast("long").alias("w"))).over(by_token)).withColumn("last", F.max("key").over(by_token))
+    runs = _prefixes(docs, levels, text_column).withColumns({"low": F.min("key").over(by_token), "high": F.max("key").over(by_token)})
     # A shingle that one set alone has can't link it; of salted ones that isn't known here.
-    runs = written(runs.filter((F.col("salt") > 0) | (F.col("c.key") != F.col("last"))).select("token", "key", "n", "c").distinct(), "jaccard-runs")
+    runs = runs.filter((F.col("salt") > 0) | (F.col("low") != F.col("high"))).withColumn("c", F.min(F.struct("key", "n", F.lit(-1).cast("long").alias("w"))).over(by_token))
+    runs = written(runs.select("token", "key", "n", "c").distinct(), "jaccard-runs")
 
     sizes = runs.select("key", F.col("n").cast("long").alias("n")).distinct()
     sizes = written(classes.filter("key IS NOT NULL").select("key", "n", "sketch").join(sizes.select("key"), "key", "left_semi").dropDuplicates(["key"]), "jaccard-sizes")
-    alike = written(_alike(_centres(runs), sizes), "jaccard-alike")
+    alike = written(_alike(_star(_centres(runs)), sizes), "jaccard-alike")
     ends = lambda pairs: pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     sets = _sets_of(docs, written(ends(alike), "jaccard-keys"), levels, text_column)
-    links = written(_verified(_star(alike), sets), "jaccard-links")
+    links = written(_verified(alike, sets), "jaccard-links")
     labels = components(links)
     rows = runs.select("token", "key", "n")
     for round_ in range(1, STAR_ROUNDS + 1):
@@ -324,7 +334,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, text_column: str = "text")
             break
         # Keys without a stored set have no like centre so far, and are left to the matrix.
         asked = rows.filter("c.label <> label").join(sets.select("key"), "key", "left_semi")
-        found = written(_verified(_star(_alike(_centres(asked), sizes)), sets), "jaccard-links")
+        found = written(_verified(_alike(_star(_centres(asked)), sizes), sets), "jaccard-links")
         if found.isEmpty():
             break
         links = links.unionByName(found)
