@@ -1,8 +1,10 @@
 """Mixing sources to target weights (operator 8), DataFrame functions only.
 
 Every source gets a budget of words. Its documents get hash-random keys and are laid out in key order; a running sum of sizes
-along that order is cut at the budget, once more round the source for every whole epoch. The running sum has two levels, so that a
-source of any share of the rows is summed by many tasks: sums of key ranges (cells) first, then the sums within each cell.
+along that order is cut at the budget, once more round the source for every whole epoch. The running sum has three levels, so that a
+source of any share of the rows is summed by many tasks: sums of key ranges (cells) and of CELL_ROWS cells together (blocks), then
+running sums over a source's blocks, over a block's cells, and over a cell's rows. The table of sources is broadcast if it has
+BROADCAST_SOURCES rows at most, and rows are dealt by source and cell, never by source alone.
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import written
+from pagewright.llm.common import own_name, written
 
 #: Rows of a source in one key range, about; what one task must sort at least.
 CELL_ROWS = 4096
+#: Sources, a row of some 100 bytes each, that are broadcast; beyond it they are joined.
+BROADCAST_SOURCES = 100_000
 
 
 def n_words(text: Column) -> Column:
@@ -58,13 +62,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     plan = targets(rows.groupBy("source").agg(F.count("*").alias("n_rows"), F.sum("size").alias("source_size")), weights, share, most)
     plan = plan.withColumn("cells", F.ceil(F.col("n_rows") / F.lit(CELL_ROWS))).withColumn("budget", F.floor("target"))
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
-    plan = plan.withColumn("name", name).drop("source")
+    plan = written(plan.withColumn("name", name).drop("source"), "mix-plan")
+    few = plan.count() <= BROADCAST_SOURCES
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    dealt = rows.withColumn("name", name).join(plan, "name").withColumn("cell", F.floor(place * F.col("cells")))
-    sums = dealt.groupBy("name", "cell").agg(F.sum("size").alias("cell_size"))
-    sums = sums.withColumn("cell_start", F.sum("cell_size").over(Window.partitionBy("name").orderBy("cell")) - F.col("cell_size"))
+    dealt = rows.withColumn("name", name).join(F.broadcast(plan) if few else plan, "name").withColumn("cell", F.floor(place * F.col("cells")))
+    sums = dealt.groupBy("name", "cell").agg(F.sum("size").alias("cell_size")).withColumn("block", F.floor(F.col("cell") / CELL_ROWS))
+    sums = written(sums, "mix-cells")
+    blocks = sums.groupBy("name", "block").agg(F.sum("cell_size").alias("block_size"))
+    blocks = blocks.withColumn("block_start", F.sum("block_size").over(Window.partitionBy("name").orderBy("block")) - F.col("block_size"))
+    before = F.sum("cell_size").over(Window.partitionBy("name", "block").orderBy("cell")) - F.col("cell_size")
+    sums = sums.withColumn("before", before).join(blocks, ["name", "block"]).select("name", "cell", (F.col("block_start") + F.col("before")).alias("cell_start"))
     inside = Window.partitionBy("name", "cell").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = dealt.join(sums, ["name", "cell"]).withColumn("start", F.col("cell_start") + F.sum("size").over(inside) - F.col("size"))
+    placed = dealt.withColumn("inside", F.sum("size").over(inside)).join(sums, ["name", "cell"]).withColumn("start", F.col("cell_start") + F.col("inside") - F.col("size"))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("budget") - rounds * F.col("source_size") - F.col("start")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest))
@@ -75,7 +84,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 42) -> DataFrame:
     """The mix itself: every row as often as the mix takes it (whole documents), with the columns of `docs`."""
-    mine = written(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-input")
-    t = mix(mine, weights, share, most, seed, whole=True, carry=["__row"])
-    often = t.filter("taken > 0").select("__row", (F.col("taken") / F.col("size")).cast("int").alias("__often"))
-    return mine.join(often, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__often")))).select(*docs.columns)
+    row, often, copy = (own_name(docs, x) for x in ("__row", "__often", "__copy"))
+    mine = written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
+    t = mix(mine, weights, share, most, seed, whole=True, carry=[row])
+    t = t.filter("taken > 0").select(row, (F.col("taken") / F.col("size")).cast("int").alias(often))
+    return mine.join(t, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often)))).select(*[F.col(f"`{c}`") for c in docs.columns])
