@@ -24,17 +24,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagewright.llm.common import fresh_folder, id_ranges, in_slices, range_of, written
+from pagewright.llm.common import fresh_folder, in_slices, shuffle_partitions, written
 
 MAGIC, HEAD, TAIL = b"PWTP", struct.Struct("<4sBBBxIQQ"), struct.Struct("<QQQQ4s")
 KINDS = {"byte": 0, "bit": 1}
 BLOCK_IDS = 1 << 16
-#: Text bytes that go into one shard file, about.
-SHARD_BYTES = 6 << 20
+#: Text bytes that go into one shard file, about, and into one task, which writes one file after the other.
+SHARD_BYTES, TASK_BYTES = 6 << 20, 64 << 20
 MEMO_WORDS = 400_000
 
 
@@ -112,7 +112,7 @@ class Shard:
 # ---- tokenizer ---------------------------------------------------------------------------------------------------------------
 
 #: Letters, then punctuation, with no white space: the tokenizer cuts between them and lower-cases, whatever stands around.
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%$#*&|]*)")
+_SIMPLE = re.compile(r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%$#*&|]*)$", re.M)
 
 
 class WordTokenizer:
@@ -124,7 +124,9 @@ class WordTokenizer:
 
         self.t = Tokenizer.from_file(path)
         self.width = 2 if self.t.get_vocab_size() <= 1 << 16 else 4
+        # Two generations of pieces: when the newer one is full it becomes the older one, whose pieces come back when they are met.
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.core: dict[str, bytes] = {}
         self.end = self._bytes([end_id])
 
@@ -147,36 +149,36 @@ class WordTokenizer:
                 for c, r in zip(part, self.t.encode_batch_fast(part, add_special_tokens=False), strict=True):
                     self.core[c] = self._bytes(r.ids)
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces; they have neither spaces nor line feeds."""
         if len(self.core) > MEMO_WORDS:
             self.core.clear()
-        simple, other = [], []
-        for p in pieces:
-            if m := _SIMPLE.fullmatch(p):
-                simple.append((p, m[1].lower(), m[2]))
-            else:
-                other.append(p)
-        tails = {t for _, _, t in simple if t and t not in self.core}
-        for t, r in zip(tails, self.t.encode_batch_fast(list(tails), add_special_tokens=False), strict=True):
-            self.core[t] = self._bytes(r.ids)
-        self._add_cores(list({c for _, c, _ in simple if c not in self.core}))
-        core = self.core
-        for p, c, t in simple:
-            self.memo[p] = core[c] + core[t] if t else core[c]
-        for p, r in zip(other, self.t.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.memo[p] = self._bytes(r.ids)
+        simple = _SIMPLE.findall("\n".join(pieces))
+        other = list(pieces.difference([c + t for c, t in simple]))
+        core, memo = self.core, self.memo
+        lower = [c.lower() for c, _ in simple]
+        tails = list({t for _, t in simple if t}.difference(core))
+        for t, e in zip(tails, self.t.encode_batch_fast(tails, add_special_tokens=False), strict=True):
+            core[t] = self._bytes(e.ids)
+        self._add_cores(list(set(lower).difference(core)))
+        for (c, t), low in zip(simple, lower, strict=True):
+            memo[c + t] = core[low] + core[t] if t else core[low]
+        for p, e in zip(other, self.t.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            memo[p] = self._bytes(e.ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids with the end id, as bytes."""
         cut = [(x or "").replace("\n", " ").split(" ") for x in texts]
-        seen = set().union(*cut) if cut else set()
-        missing = [p for p in seen if p not in self.memo]
+        missing = set().union(*cut)
+        if len(self.memo) > MEMO_WORDS // 2:
+            self.older, self.memo = self.memo, {}
+        missing = missing.difference(self.memo)
+        older = self.older
+        known = [p for p in missing if p in older]
+        self.memo.update(zip(known, map(older.__getitem__, known), strict=True))
+        missing.difference_update(known)
         if missing:
             self._learn(missing)
-            if any(p not in self.memo for p in seen):  # the memo was emptied
-                self._learn([p for p in seen if p not in self.memo])
         get = self.memo.__getitem__
         return [b"".join(map(get, x)) + self.end for x in cut]
 
@@ -192,12 +194,12 @@ def tokenizer(path: str, end_id: int) -> WordTokenizer:
 
 # ---- write and read ----------------------------------------------------------------------------------------------------------
 
-_MANIFEST = "shard int, n_docs long, n_ids long, n_bytes long"
+_MANIFEST = "shard string, n_docs long, n_ids long, n_bytes long"
 
 
 def _put(folder: str, name: str, data: bytes) -> None:
     """Write under another name, then move: a repeated or doubled task leaves one whole file of the same bytes."""
-    fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+    fs, at = pyarrow.fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", folder))
     fs.create_dir(at, recursive=True)
     tmp = f"{at}/.{name}.{uuid.uuid4().hex}"
     with fs.open_output_stream(tmp) as f:
@@ -206,38 +208,42 @@ def _put(folder: str, name: str, data: bytes) -> None:
 
 
 def write_token_planes(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, kind: str = "byte", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Encode every whole text and write the shard files `folder`/00000.pwtp, ... ; returns the manifest, a row for each shard.
+    """Encode every whole text and write the shard files `folder`/0000000-0000.pwtp, ... ; returns the manifest, a row for each shard.
 
-    Shards are ranges of ids, so that files in name order hold the documents in ascending order of id. Null text is the empty text
-    and has the end id alone; a null id comes first and is stored as the least long; rows with equal ids stay next to each other,
-    by text. An empty table gives no file and an empty manifest. Other columns are ignored. Only the rows of one shard
-    (about SHARD_BYTES of text, or one document if that is longer) are in a worker's memory.
+    Tasks have ranges of ids, and cut theirs into shards, so that files in name order hold the documents in ascending order of id. Null
+    text is the empty text and has the end id alone; a null id comes first and is stored as the least long; rows with equal ids follow
+    each other, by text. An empty table gives no file and an empty manifest. Other columns are ignored. Only the rows of one shard
+    (about SHARD_BYTES of text, or one document if that is longer) are in a worker's memory, however many rows have one id.
     """
-    size = docs.agg(F.sum(F.octet_length(text_column)), F.count("*")).first()
-    cuts = id_ranges(docs, id_column, max(1, round((size[0] or 0) / SHARD_BYTES)))
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"), range_of(F.col(id_column), cuts).alias("shard"))
-    dealt = rows.repartitionByRange(max(len(cuts) + 1, 1), "shard").sortWithinPartitions(F.col("shard"), F.col("id").asc_nulls_first(), "text")
+    size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES), min(-(-size // SHARD_BYTES), shuffle_partitions(docs.sparkSession)))
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    dealt = rows.repartitionByRange(tasks, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(tokenizer_path, end_id)
-        shard, ids, counts, parts = None, [], [], []
+        from pyspark import TaskContext
+
+        tok, task = tokenizer(tokenizer_path, end_id), TaskContext.get().partitionId()
+        number, held, ids, counts, parts = 0, 0, [], [], []
 
         def close():
+            nonlocal number, held, ids, counts, parts
+            name = f"{task:07d}-{number:04d}"
             data = encode_shard(ids, counts, np.frombuffer(b"".join(parts), dtype=f"<u{tok.width}"), kind)
-            _put(folder, f"{shard:05d}.pwtp", data)
-            return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([sum(counts)], pa.int64()), "n_bytes": pa.array([len(data)], pa.int64())})
+            _put(folder, f"{name}.pwtp", data)
+            row = {"shard": pa.array([name]), "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([sum(counts)], pa.int64()), "n_bytes": pa.array([len(data)], pa.int64())}
+            number, held, ids, counts, parts = number + 1, 0, [], [], []
+            return pa.RecordBatch.from_pydict(row)
 
         for b in in_slices(batches, 256):
             texts = tok.encode(b.column(1).to_pylist())
-            for i, s, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), texts, strict=True):
-                if s != shard:
-                    if shard is not None:
-                        yield close()
-                    shard, ids, counts, parts = s, [], [], []
-                ids.append(-(1 << 63) if i is None else i)
-                counts.append(len(t) // tok.width)
-                parts.append(t)
-        if shard is not None:
+            ids += [-(1 << 63) if i is None else i for i in b.column(0).to_pylist()]
+            counts += [len(t) // tok.width for t in texts]
+            parts += texts
+            held += b.column(1).nbytes
+            if held >= SHARD_BYTES:
+                yield close()
+        if ids:
             yield close()
 
     return dealt.mapInArrow(encode, _MANIFEST)
@@ -247,10 +253,10 @@ def read_token_planes(manifest: DataFrame, folder: str) -> DataFrame:
     """From the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (of the ids as little-endian u32).
 
     `manifest` must be a stored table: reading it again must not write the files again. It has a row for each shard (some MB of
-    input); the offsets of shards are its running sum.
+    input); a shard's offset is the sum of the tasks before its own and of its task's shards before it.
     """
     spark = manifest.sparkSession
-    schema = T.StructType.fromDDL("shard int, first long, doc_id long, n_tokens long, ids_crc32 long")
+    schema = T.StructType.fromDDL("shard string, first long, doc_id long, n_tokens long, ids_crc32 long")
     if manifest.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
 
@@ -264,15 +270,15 @@ def read_token_planes(manifest: DataFrame, folder: str) -> DataFrame:
                 crc = [zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(first.tolist(), ends.tolist(), strict=True)]
                 n = s.n_docs
                 docs = pa.array(s.doc_ids, mask=s.doc_ids == -(1 << 63))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name, dtype=np.int32)), pa.array(first), docs, pa.array(s.counts.astype(np.int64)), pa.array(crc, type=pa.int64())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(first), docs, pa.array(s.counts.astype(np.int64)), pa.array(crc, type=pa.int64())], names=schema.names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pwtp").load(folder)
-    rows = files.select(F.regexp_extract(F.col("path"), r"(\d+)\.pwtp$", 1).cast("int").alias("shard"), "content").mapInArrow(decode, schema)
-    offsets, total = [], 0
-    for r in manifest.select("shard", "n_ids").orderBy("shard").toLocalIterator():
-        offsets.append((r[0], total))
-        total += r[1]
-    before = spark.createDataFrame(offsets, "shard int, before long")
+    rows = files.select(F.regexp_extract(F.col("path"), r"([0-9-]+)\.pwtp$", 1).alias("shard"), "content").mapInArrow(decode, schema)
+    shards = manifest.select("shard", "n_ids", F.substring_index("shard", "-", 1).alias("task"))
+    tasks = shards.groupBy("task").agg(F.sum("n_ids").alias("n"))  # a row for TASK_BYTES of text
+    tasks = tasks.select("task", (F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("task")) - F.col("n")).alias("task_start"))
+    inside = F.sum("n_ids").over(Window.partitionBy("task").orderBy("shard")) - F.col("n_ids")
+    before = shards.withColumn("inside", inside).join(tasks, "task").select("shard", (F.col("task_start") + F.col("inside")).alias("before"))
     return rows.join(before, "shard").select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pagewright.llm.common import documents
 
-#: Folder of public tokenizer files.
-TOKENIZERS = os.environ.get("PAGEWRIGHT_TOKENIZERS", "/opt/tokenizers")
-
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     from pagewright.llm.op01_token_planes import token_planes
 
-    return token_planes(documents(spark, sf_dir, "doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=1)
+    return token_planes(documents(spark, sf_dir, "doc_id", "text"), str(public_tokenizers.path("word_bpe_49k.json")), end_id=1)
 
 
 def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
