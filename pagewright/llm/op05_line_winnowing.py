@@ -1,10 +1,18 @@
 """Line-level deduplication by winnowing (operator 5).
 
 A text is the sequence of its lines that have a word. A window is a shortest run of lines with RUN_WORDS words or more, taken forward
-from each line and backward from each line. Its least line hash is a fingerprint, and any two equal runs of RUN_WORDS words or more
-have a window, and so a fingerprint with its window, in common: that is guaranteed, not likely. Positions are joined on fingerprint
-and window hash with the first place where these occur; matched windows that meet or overlap are one run; and every line of a run that
-occurs at an earlier place is deleted. A line next to a matched run is in a window with it, so that runs are maximal.
+from each line and backward from each line.
+
+1. Select. Of each window the line with the least hash (the last of equal ones) is a fingerprint. Two equal runs of RUN_WORDS words or
+   more have a window in common, and so a fingerprint at the same place of both: that is guaranteed, not likely.
+2. Join positions. Only fingerprints that occur in two places are kept; the rest of the text goes no further.
+3. Extend. A kept fingerprint is extended both ways to the windows whose minimum it is; each is compared with the first place of an
+   equal window. Matched windows that meet or overlap are one run. A run's line is in a window with its neighbour, so that runs are
+   maximal, whatever earlier places their parts have.
+4. Delete every line of a run that occurs at an earlier place.
+
+Fingerprints and windows are counted with partial aggregates and joined with tables of one row each, so that a line that a third of
+all documents have is never one task's: the join's other side can be split.
 """
 
 from __future__ import annotations
@@ -14,12 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.llm import kernels as K
-from pagewright.llm.common import in_slices, written
+from pagewright.llm.common import in_slices, own_name, written
 
 #: Words that a repeated run has at least: well below a passage of 50 words without its two broken end lines.
 RUN_WORDS = 8
@@ -39,55 +47,66 @@ def lines(t: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return begin[some], end[some], of[some], n[some]
 
 
-def windows(h: np.ndarray, n: np.ndarray, least: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first line, last line, key) of each distinct window of one text, key being a hash of the window's minimum and of the window."""
+def windows(h: np.ndarray, n: np.ndarray, of: np.ndarray, least: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first line, last line, minimum's line, key) of each distinct window, in order of the minimum. h, n, of: hash, words and text of
+    each line; lines are counted over all texts. The key is a hash of the window's lines."""
     size = len(h)
-    c = np.concatenate([[0], np.cumsum(n)])
-    if not size or c[-1] < least:
+    if not size:
         z = np.zeros(0, dtype=np.int64)
-        return z, z, z
+        return z, z, z, z
     at = np.arange(size)
-    stop = np.searchsorted(c, c[:-1] + least)  # the window from line i is i..stop-1
-    fore = stop <= size
-    back = np.searchsorted(c, c[1:] - least, "right") - 1  # the window that ends with line i begins at back
-    rear = back >= 0
-    pair = np.unique(np.concatenate([np.stack([at[fore], stop[fore] - 1], 1), np.stack([back[rear], at[rear]], 1)]), axis=0)
-    first, last = pair[:, 0], pair[:, 1]
-    mask = (1 << 64) - 1
-    keys, values = [], h.tolist()
-    for i, j in pair.tolist():
-        part = values[i : j + 1]
-        key = (min(part) * 0x9E3779B97F4A7C15 + len(part)) & mask
-        for x in part:
-            key = (key * 0xD6E8FEB86659FD93 + x) & mask
-            key ^= key >> 29
-        keys.append(key)
-    return first, last, K.mix(np.array(keys, dtype=K.U64)).view(np.int64)
-
-
-def _windows_table(rows: DataFrame, least: int) -> DataFrame:
-    """(key, id, row, first, last) for each window. rows: row, id, text."""
+    c = np.concatenate([[0], np.cumsum(n)])
+    begin, end = np.searchsorted(of, of, "left"), np.searchsorted(of, of, "right")
+    stop = np.searchsorted(c, c[:-1] + least) - 1  # the window from line i ends with line stop[i]
+    back = np.searchsorted(c, c[1:] - least, "right") - 1  # the window that ends with line i begins with line back[i]
+    fore, rear = stop < end, back >= begin
+    pair = np.unique(np.concatenate([at[fore] * size + stop[fore], back[rear] * size + at[rear]]))
+    first, last = pair // size, pair % size
+    least_at = first.copy()
+    for step in range(1, int((last - first).max(initial=0)) + 1):  # a window has `least` lines at most, as each has a word
+        x = np.minimum(first + step, last)
+        least_at = np.where(h[x] <= h[least_at], x, least_at)
+    power, inverse = K._power(size + 1)
+    total = np.zeros(size + 1, dtype=K.U64)
+    np.cumsum(K.mix(h) * power[:size], out=total[1:])
+    key = K.mix((total[last + 1] - total[first]) * inverse[first] + (last - first + 1).astype(K.U64) * K.U64(0x9E3779B97F4A7C15)).view(np.int64)
+    order = np.argsort(least_at, kind="stable")
+    return first[order], last[order], least_at[order], key[order]
+
+
+def _fingerprints(rows: DataFrame, least: int) -> DataFrame:
+    """(fingerprint, id, row, windows) for each selected line: the windows whose minimum it is, by line numbers within the text.
+    rows: row, id, text."""
+    window = pa.struct([("key", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in in_slices(batches):
-            column, rows_, ids = b.column(2), b.column(0).to_numpy(), b.column(1).to_pylist()
+            column, rows_, ids = b.column(2), b.column(0), b.column(1)
             for i, j, t in K.blocks(column):
                 begin, end, of, n = lines(t)
                 h = K.span_hashes(t.data, begin, end)
-                cut = K.bounds(of, j - i)
-                out: tuple[list, ...] = ([], [], [], [], [])
-                for x in range(j - i):
-                    f, e, key = windows(h[cut[x] : cut[x + 1]], n[cut[x] : cut[x + 1]], least)
-                    if len(f):
-                        out[0].append(key)
-                        out[1].extend([ids[i + x]] * len(f))
-                        out[2].append(np.full(len(f), rows_[i + x]))
-                        out[3].append(f)
-                        out[4].append(e)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out[0])), pa.array(out[1], pa.int64()), pa.array(np.concatenate(out[2])), pa.array(np.concatenate(out[3]).astype(np.int32)), pa.array(np.concatenate(out[4]).astype(np.int32))], names=["key", "id", "row", "first", "last"])
-
-    return rows.mapInArrow(run, "key long, id long, row long, first int, last int")
+                first, last, at, key = windows(h, n, of, least)
+                if not len(first):
+                    continue
+                cut = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]]).astype(np.int32)
+                chosen = at[cut[:-1]]
+                base = np.searchsorted(of, of[first], "left")
+                values = pa.StructArray.from_arrays([pa.array(key), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))], fields=list(window))
+                where = pa.array(i + of[chosen])
+                yield pa.RecordBatch.from_arrays([pa.array(h[chosen].view(np.int64)), ids.take(where), rows_.take(where), pa.ListArray.from_arrays(pa.array(cut), values)], names=["fingerprint", "id", "row", "windows"])
+
+    return rows.mapInArrow(run, "fingerprint long, id long, row long, windows array<struct<key:long,first:int,last:int>>")
+
+
+def _spans(rows: DataFrame, least: int) -> DataFrame:
+    """(row, spans): the windows of each row, by line numbers, that also occur at an earlier place."""
+    chosen = written(_fingerprints(rows, least), "lines-fingerprints")
+    twice = written(chosen.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint"), "lines-repeated")
+    extended = chosen.join(twice, "fingerprint", "left_semi").select("id", "row", F.explode("windows").alias("w")).select("w.key", F.struct(F.col("id").isNotNull().alias("set"), "id", "row", F.col("w.first").alias("first")).alias("place"), F.col("w.last").alias("last"))
+    extended = written(extended, "lines-windows")
+    earliest = written(extended.groupBy("key").agg(F.min("place").alias("earliest"), F.count("*").alias("n")).filter("n > 1").select("key", "earliest"), "lines-earliest")
+    later = extended.join(earliest, "key").filter((F.col("earliest.row") != F.col("place.row")) | (F.col("earliest.first") != F.col("place.first")))
+    return later.groupBy(F.col("place.row").alias("row")).agg(F.collect_list(F.struct(F.col("place.first").alias("first"), "last")).alias("spans"))
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, int, int]:
@@ -105,23 +124,21 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, int, int]:
 
 
 def deduplicate(docs: DataFrame, least: int = RUN_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`docs` with its columns, repeated runs deleted from the text, and __n_lines, __n_removed, __n_runs.
+    """`docs` with its columns, repeated runs deleted from the text, and __n_lines, __n_removed, __n_runs (with one more underscore where
+    `docs` has such a column).
 
     A line is deleted when it is in a run of lines with `least` words or more that also begins at an earlier place: in a document
     with a smaller id (nulls first; of rows with equal ids the one read first), or higher up in the same document; the two places may
     overlap. Lines are equal when their bytes are. Lines without a word never count, and stay. Null and empty texts stay as they are,
     as do texts of fewer words. Empty table: no rows. Other columns are kept untouched.
     """
-    mine = written(docs.withColumn("__row", F.monotonically_increasing_id()), "lines-input")
-    table = _windows_table(mine.select("__row", F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")), least)
-    place = F.struct(F.col("id").isNotNull().alias("set"), F.col("id"), F.col("row"), F.col("first"))
-    earliest = F.min(place).over(Window.partitionBy("key"))
-    later = table.withColumn("earliest", earliest).filter((F.col("earliest.row") != F.col("row")) | (F.col("earliest.first") != F.col("first")))
-    spans = later.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("first", "last")).alias("__spans"))
-    joined = mine.join(spans, "__row", "left").drop("__row")
+    row, spans = own_name(docs, "__row"), own_name(docs, "__spans")
+    mine = written(docs.withColumn(row, F.monotonically_increasing_id()), "lines-input")
+    found = _spans(mine.select(row, F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")), least)
+    joined = mine.join(found.toDF(row, spans), row, "left").drop(row)
     names = docs.columns
     at = names.index(text_column)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_removed", T.LongType()), T.StructField("__n_runs", T.LongType())])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(own_name(docs, x), T.LongType()) for x in ("__n_lines", "__n_removed", "__n_runs")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in in_slices(batches, 1024):
