@@ -3,16 +3,17 @@
 A byte goes when a string of LENGTH bytes that covers it also starts in a document with a smaller id. The corpus is stored in blocks of
 whole documents. Winnowing marks in every string of LENGTH bytes a gram by its hash alone, so that equal strings have equal marked
 grams at the same place; marks found in one document only can't be in a repeated string. The others' surroundings (all strings that
-hold the mark) are dealt to shards by the mark's hash, so that equal strings meet. A shard concatenates its surroundings and puts all
-suffixes in order by induced sorting with disk-backed queues (`induced_sorting`); neighbours in that order that agree in LENGTH bytes
-are one string, of which the least document id is found, and the blocks get back which of their strings to remove.
-
-Common prefixes are compared, to LENGTH bytes, once the order is known, not carried through the queues: only LENGTH matters here.
+hold the mark) are dealt to ranges by the mark's hash, so that equal strings meet, and stream into files of the worker's scratch
+folder. A range's distinct surroundings are sorted in shards: all their suffixes, with their common prefixes, by induced sorting with
+disk-backed queues (`induced_sorting`). Neighbours whose common prefix is LENGTH are one string, of which the least document id is
+found, and the blocks get back which of their strings to remove.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,15 @@ BLOCK_BYTES = 1 << 20
 #: Blocks that Spark hands to Python at once.
 BATCH_BLOCKS = 8
 #: Bytes of surroundings that are sorted together, about; more only if they share one mark.
-SHARD_BYTES = 1 << 20
-#: Bytes of suffix tuples that a shard's sort keeps out of files.
-SORT_MEMORY = 64 << 20
+SHARD_BYTES = 4 << 20
+#: Bytes of suffix tuples that a shard's sort keeps out of files, and of an array that is not a file.
+SORT_MEMORY = 1 << 20
+#: Text bytes for one range of marks, about.
+RANGE_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
+_SPOOLED = np.dtype([("id", "<i8"), ("row", np.uint8, (AROUND,)), ("valid", np.uint8, (2,))])
 _BLOCK = "block long, ids binary, sizes binary, text binary"
 
 
@@ -127,6 +131,19 @@ def _sliding(h: np.ndarray, w: int, take, filler) -> np.ndarray:
     return out
 
 
+def row_names(rows: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each surrounding with its valid strings."""
+    n = len(rows)
+    if not n:
+        return np.zeros(0, dtype=K.U64)
+    name = np.empty(n, dtype=K.U64)
+    for i in range(0, n, 1 << 14):
+        part = np.ascontiguousarray(rows[i : i + (1 << 14)])
+        at = np.arange(len(part) + 1) * AROUND
+        name[i : i + len(part)] = K.span_hashes(part.ravel(), at[:-1], at[1:])
+    return name ^ (valid[:, 0].astype(np.int64) * 64 + valid[:, 1]).astype(K.U64) * K.U64(0x9E3779B97F4A7C15)
+
+
 def _split(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts keys into n equal hash ranges, and where each range begins."""
     bucket = ((keys >> np.uint64(32)).astype(np.int64) * n) >> 32
@@ -216,55 +233,59 @@ def _candidates(r: dict, buckets: int):
     keep = shared[np.searchsorted(hashes, h)] if len(h) else np.zeros(0, dtype=bool)
     at, doc, h = at[keep], doc[keep], h[keep]
     rows, valid = k.surroundings(at, doc) if len(at) else (np.zeros((0, AROUND), np.uint8), np.zeros((0, 2), np.int64))
-    whole = np.ascontiguousarray(rows).view(f"V{AROUND}").ravel() if len(rows) else np.zeros(0, f"V{AROUND}")
-    name = K.span_hashes(np.ascontiguousarray(rows).ravel(), np.arange(len(rows)) * AROUND, np.arange(1, len(rows) + 1) * AROUND) if len(rows) else h
-    name ^= (valid[:, 0] * 64 + valid[:, 1]).astype(K.U64) * K.U64(0x9E3779B97F4A7C15) if len(rows) else name
+    name = row_names(rows, valid)
     _, first, number = np.unique(name, return_index=True, return_inverse=True)
-    assert len(whole) == len(number)
     least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, number, k.ids[doc])
     return k, at, doc, number, rows[first], valid[first], h[first], least
 
 
-def sort_shard(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each surrounding a bit for each string: whether the string is also in a surrounding with a smaller id."""
+def sort_shard(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, told: dict | None = None) -> np.ndarray:
+    """For each surrounding and each of its strings: the least id that has the string; of strings outside of the document, the largest
+    number. A row of STRINGS numbers for each surrounding."""
     n = len(rows)
     text = np.full((n, AROUND + 1), 1, dtype=np.uint8)
     text[:, :AROUND] = rows
     np.maximum(text, 1, out=text)  # what lies outside of a document is like the border of a surrounding
-    flat = np.append(text.ravel(), np.uint8(0))
-    order = suffix_order(flat, LENGTH, memory=SORT_MEMORY)[1:]
+    order, common = suffix_order(np.append(text.ravel(), np.uint8(0)), LENGTH, SORT_MEMORY, told)
+    group = np.cumsum(common < LENGTH)  # suffixes that agree in LENGTH bytes
     owner, place = np.divmod(order, np.int32(AROUND + 1))
-    use = (place >= valid[owner, 0]) & (place <= valid[owner, 1])
-    order, owner, place = order[use], owner[use], place[use]
-    strings = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)
-    new = np.ones(len(order), dtype=bool)
-    for i in range(1, len(order), 1 << 16):
-        j = min(i + (1 << 16), len(order))
-        new[i:j] = (strings[order[i:j]] != strings[order[i - 1 : j - 1]]).any(axis=1)
-    out = np.zeros(n, dtype=np.uint32)
-    if len(order):
-        begin = np.flatnonzero(new)
-        least = np.minimum.reduceat(ids[owner], begin)[np.cumsum(new) - 1]
-        gone = least < ids[owner]
-        np.bitwise_or.at(out, owner[gone], np.uint32(1) << place[gone].astype(np.uint32))
+    use = (place < STRINGS) & (place >= valid[np.minimum(owner, n - 1), 0]) & (place <= valid[np.minimum(owner, n - 1), 1]) & (owner < n)
+    owner, place, group = owner[use], place[use], group[use]
+    out = np.full((n, STRINGS), np.iinfo(np.int64).max)
+    if len(owner):
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        out[owner, place] = np.minimum.reduceat(ids[owner], np.flatnonzero(new))[np.cumsum(new) - 1]
     return out
 
 
-def sort_shards(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """`sort_shard` over parts of SHARD_BYTES about, by the marks' hashes: surroundings that share a string have equal marks."""
-    parts = -(-len(rows) * (AROUND + 1) // SHARD_BYTES)
-    if parts < 2:
-        return sort_shard(rows, valid, ids)
-    mark = np.zeros(len(rows), dtype=K.U64)
+def sort_range(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, told: dict | None = None) -> np.ndarray:
+    """For each surrounding a bit for each string: whether the string is also in a surrounding with a smaller id.
+
+    Equal surroundings are sorted once, with the least of their ids. Shards of SHARD_BYTES about are cut by the marks' hashes, as
+    surroundings that share a string have equal marks.
+    """
+    name = row_names(rows, valid)
+    _, first, number = np.unique(name, return_index=True, return_inverse=True)
+    by = np.argsort(number, kind="stable")
+    cut = np.searchsorted(number[by], np.arange(len(first) + 1))
+    least = np.minimum.reduceat(ids[by], cut[:-1])
+    mark = np.zeros(len(first), dtype=K.U64)
     for i in range(LENGTH - GRAM, LENGTH):
-        mark = mark * K.U64(0x100000001B3) + rows[:, i]
+        mark = mark * K.U64(0x100000001B3) + rows[first, i]
+    parts = max(1, -(-len(first) * (AROUND + 1) // SHARD_BYTES))
     part = (K.mix(mark) >> K.U64(33)).astype(np.int64) % parts
     order = np.argsort(part, kind="stable")
     out = np.zeros(len(rows), dtype=np.uint32)
+    bit = np.uint32(1) << np.arange(STRINGS, dtype=np.uint32)
     for o in np.split(order, np.searchsorted(part[order], np.arange(1, parts))):
         if len(o):
-            out[o] = sort_shard(rows[o], valid[o], ids[o])
+            found = sort_shard(rows[first[o]], valid[first[o]].astype(np.int64), least[o], told)
+            mine = np.concatenate([by[a:b] for a, b in zip(cut[o].tolist(), cut[o + 1].tolist(), strict=True)])
+            at = np.repeat(np.arange(len(o)), cut[o + 1] - cut[o])
+            for i in range(0, len(mine), 1 << 16):
+                m, k = mine[i : i + (1 << 16)], at[i : i + (1 << 16)]
+                out[m] = ((found[k] < ids[m][:, None]) * bit).sum(axis=1, dtype=np.uint32)
     return out
 
 
@@ -284,15 +305,35 @@ def _string_masks(blocks: DataFrame, buckets: int) -> DataFrame:
                 if out:
                     yield _batch(["bucket", "block", "rows", "valid", "ids"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], out)
 
-    def total(t: pa.Table) -> pa.Table:
-        ids = [np.frombuffer(x.as_buffer(), "<i8") for x in t.column("ids")]
-        rows = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in t.column("rows")]).reshape(-1, AROUND)
-        valid = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in t.column("valid")]).reshape(-1, 2).astype(np.int64)
-        masks = sort_shards(rows, valid, np.concatenate(ids))
-        cut = np.cumsum([0, *map(len, ids)])
-        return pa.table({"block": t.column("block"), "bucket": t.column("bucket"), "masks": pa.array([masks[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())})
-
-    return blocks.mapInArrow(send, "bucket int, block long, rows binary, valid binary, ids binary").groupBy("bucket").applyInArrow(total, "block long, bucket int, masks binary")
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows come range by range; a range's are in a file while they come."""
+        with tempfile.TemporaryDirectory(prefix="suffix-") as folder:
+            spool, bucket, sent = None, None, []
+
+            def close() -> pa.RecordBatch:
+                spool.close()
+                n = sum(x for _, x in sent)
+                raw = np.memmap(spool.name, dtype=_SPOOLED, mode="r", shape=(n,))
+                masks = sort_range(raw["row"], raw["valid"], np.ascontiguousarray(raw["id"]))
+                cut = np.cumsum([0, *(x for _, x in sent)])
+                return _batch(["block", "bucket", "masks"], [pa.int64(), pa.int32(), pa.binary()], [(block, bucket, masks[x:y].tobytes()) for (block, _), x, y in zip(sent, cut[:-1], cut[1:], strict=True)])
+
+            for b in batches:
+                for r in rows_of(b):
+                    if r["bucket"] != bucket:
+                        if sent:
+                            yield close()
+                        spool, bucket, sent = open(os.path.join(folder, "range"), "wb"), r["bucket"], []
+                    ids = np.frombuffer(r["ids"], "<i8")
+                    got = np.empty(len(ids), dtype=_SPOOLED)
+                    got["id"], got["row"], got["valid"] = ids, np.frombuffer(r["rows"], np.uint8).reshape(-1, AROUND), np.frombuffer(r["valid"], np.uint8).reshape(-1, 2)
+                    spool.write(got.tobytes())
+                    sent.append((r["block"], len(ids)))
+            if sent:
+                yield close()
+
+    sent = blocks.mapInArrow(send, "bucket int, block long, rows binary, valid binary, ids binary")
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, "block long, bucket int, masks binary")
 
 
 def _removed(r: dict, buckets: int) -> tuple[Block, np.ndarray]:
@@ -331,7 +372,8 @@ def deduplicate(docs: DataFrame, keep_bytes: bool = False, id_column: str = "doc
     null. Rows with equal ids never remove from each other. Strings within one document don't count against it. What stays need not be
     valid UTF-8. Empty table: no rows. Other columns are ignored.
     """
-    buckets = 4 * shuffle_partitions(docs.sparkSession)
+    total = docs.agg(F.sum(F.octet_length(F.col(text_column).cast("string")))).first()[0] or 0
+    buckets = max(-(-total // RANGE_BYTES), shuffle_partitions(docs.sparkSession))
     blocks = written(encode_blocks(docs, id_column, text_column), "suffix-blocks")
     spark = docs.sparkSession
     with batches_of(spark, BATCH_BLOCKS):
