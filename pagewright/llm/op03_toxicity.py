@@ -4,7 +4,8 @@ Channel: a writer may replace letters by look-alikes (leetspeak), put separators
 for each odd piece of text, every way to read it; Viterbi finds the best path under a character trigram model of the corpus and fixed
 costs of the channel. The restored words' prefixes and the words themselves are the features of a logistic regression.
 
-The character model counts all documents. Feature selection and regression use labelled rows, up to TRAIN_ROWS of them.
+The character model counts all documents, each by itself, so that scores don't depend on how rows are dealt. The regression uses
+labelled rows, up to TRAIN_ROWS of them; every feature that these tie to the label (by the likelihood ratio, at SCREEN) is in it.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import kernels as K
-from pagewright.llm.common import in_slices
+from pagewright.llm.common import in_slices, written
 
-#: Bounds of the fit: labelled rows, candidate features, selected features.
-TRAIN_ROWS, CANDIDATES, SELECTED = 20_000, 60_000, 4096
+#: Labelled rows that the fit uses at most, and the least likelihood-ratio statistic of a feature (10.83: one in 1,000 by chance).
+TRAIN_ROWS, SCREEN = 20_000, 10.83
 THRESHOLD = 0.7
 MEMO_WORDS = 300_000
 
@@ -42,25 +43,39 @@ _LETTERS = {chr(97 + i): i + 1 for i in range(26)} | {chr(0xE0 + i): 27 + i for
 
 
 def trigram_counts(column: pa.Array) -> np.ndarray:
-    """Counts of three classes in a row, texts and runs of other characters counting as one boundary each; CLASSES ** 3 values."""
+    """Counts of three classes in a row, runs of other characters counting as one boundary; CLASSES ** 3 values.
+
+    Each text counts by itself, from two boundaries to one, whatever texts are next to it.
+    """
     total = np.zeros(CLASSES**3, dtype=np.int64)
     for _, _, t in K.blocks(column):
         d = t.data
         c = _ASCII[d]
         after = np.flatnonzero(d[:-1] == 0xC3) + 1
         c[after] = _LATIN[d[after] & 63]
-        c[t.start[t.start < len(d)]] *= 1
-        keep = d != 0xC3
-        c = c[keep]
+        first = np.zeros(len(d) + 1, dtype=bool)
+        first[t.start[t.start < t.end]] = True
+        first = np.flatnonzero(first)
+        keep = np.insert(d != 0xC3, first, True)
+        border = np.insert(np.zeros(len(d), dtype=bool), first, True)[keep]
+        c = np.append(np.insert(c, first, 0)[keep], 0)
+        border = np.append(border, False)
+        # Of each run of boundaries one is left; it parts two texts if one in the run does.
         run = np.ones(len(c), dtype=bool)
         run[1:] = (c[1:] != 0) | (c[:-1] != 0)
-        c = np.concatenate([[0, 0], c[run], [0]])
-        total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
+        parts = np.logical_or.reduceat(border, np.flatnonzero(run)) if len(c) else border
+        c, before = c[run], np.concatenate([[0], c[run][:-1]])
+        before[parts] = 0
+        total += np.bincount((before[:-1] * CLASSES + c[:-1]) * CLASSES + c[1:], minlength=CLASSES**3)
     return total
 
 
+#: Share of characters that any class may be, so that a word which the corpus lacks costs no more than that.
+UNSEEN = 0.005
+
+
 class CharModel:
-    """log P(class | two classes before), interpolated with the bigram and unigram models."""
+    """log P(class | two classes before), interpolated with the bigram, unigram and uniform models."""
 
     def __init__(self, counts: np.ndarray):
         n3 = counts.reshape(CLASSES, CLASSES, CLASSES).astype(np.float64)
@@ -68,7 +83,7 @@ class CharModel:
         p1 = (n1 + 1) / (n1.sum() + CLASSES)
         p2 = (n2 + 20 * p1) / (n2.sum(1, keepdims=True) + 20)
         p3 = (n3 + 20 * p2) / (n3.sum(2, keepdims=True) + 20)
-        self.log = np.log(p3).tolist()
+        self.log = np.log((1 - UNSEEN) * p3 + UNSEEN / CLASSES).tolist()
 
 
 # ---- channel -----------------------------------------------------------------------------------------------------------------
@@ -76,10 +91,17 @@ class CharModel:
 #: Look-alikes of letters.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "(": "c", "€": "e", "£": "l", "¡": "i"}
 #: Log costs of the channel.
-SUBSTITUTE, KEEP, DROP, REPEAT, DOUBLE = -1.0, -3.0, -1.5, -0.3, -2.0
+SUBSTITUTE, KEEP, DROP, REPEAT, DOUBLE = -1.0, -6.0, -1.5, -0.3, -2.0
+#: A kept sign is a character as well, which the model has no odds for: it costs what a letter costs about.
+SIGN = -2.8
+#: Between single letters: a space that is left out, and one that stays.
+CLOSE, PART = -0.2, -6.0
+#: Characters after which the best path so far is taken, to bound a path's memory.
+CUT = 4096
 _SPACERS = set(" .-_*~'`·,/\\")
 _EDGE = re.compile(r"^[^\w@$!|(€£¡+]+|(?:[^\w]{2,}|[^\w@$!|(€£¡+])$")
 _ODD = re.compile(r"[\W\d_]|(.)\1\1")
+_SPELT = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 
 
 def candidates(piece: str) -> bool:
@@ -87,9 +109,9 @@ def candidates(piece: str) -> bool:
     return len(piece) > 2 and _ODD.search(piece) is not None and sum(c.isalpha() for c in piece) >= 1 and not piece.isdigit()
 
 
-def viterbi(piece: str, model: CharModel) -> str:
-    """The best reading of a piece, with a space for each boundary."""
-    log = model.log
+def viterbi(piece: str, model: CharModel, spelt: bool = False) -> str:
+    """The best reading of a piece, with a space for each boundary. spelt: the piece is single characters with a space between each."""
+    log, said = model.log, []
     states: dict[tuple[int, int], tuple[float, tuple | None, str]] = {(0, 0): (0.0, None, "")}
 
     def step(new: dict, state: tuple[int, int], score: float, cell, ch: str, cost: float) -> None:
@@ -119,21 +141,29 @@ def viterbi(piece: str, model: CharModel) -> str:
                 continue
             for to in LEET.get(ch, ""):
                 step(new, state, score, cell, to, SUBSTITUTE)
-            if inner and ch in _SPACERS or repeated:
-                value = score + DROP
+            gap = spelt and ch == " "
+            if inner and ch in _SPACERS or repeated and i > 1 and piece[i - 2] == ch:
+                value = score + (CLOSE if gap else DROP)
                 if state not in new or value > new[state][0]:
                     new[state] = (value, cell, "")
-            step(new, state, score, cell, " " if not ch.isalpha() else ch, KEEP if ch not in " " else 0.0)
+            step(new, state, score, cell, " " if not ch.isalpha() else ch, PART if gap else 0.0 if ch == " " else KEEP + SIGN)
         states = new
+        if i % CUT == CUT - 1:
+            state, cell = max(states.items(), key=lambda x: (x[1][0], x[0]))
+            said.append(_path(cell))
+            states = {state: (0.0, None, "")}
     end: dict = {}
     for state, cell in states.items():
         step(end, state, cell[0], cell, " ", 0.0)
-    cell = max(end.values(), key=lambda x: x[0])
+    return "".join([*said, _path(max(end.values(), key=lambda x: x[0]))]).strip()
+
+
+def _path(cell: tuple | None) -> str:
     out = []
     while cell is not None:
         out.append(cell[2])
         cell = cell[1]
-    return "".join(reversed(out)).strip()
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -152,23 +182,17 @@ class Restorer:
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text, those spelt in single letters joined where the character model says so."""
-        pieces = text.split()
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
         out: set[str] = set()
-        for p in set(pieces):
+        for p in set(text.split()):
             w = memo.get(p)
             if w is None:
                 w = memo[p] = self.piece(p)
             out.update(w)
-        short = [i for i, p in enumerate(pieces) if len(p) == 1 and not p.isspace()]
-        if len(short) > 2:
-            a = np.array(short)
-            cut = np.flatnonzero(np.diff(a) != 1)
-            for s, e in zip(np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(a) - 1]]), strict=True):
-                if e - s >= 2:
-                    out.update(x for x in re.split(r"[\W\d_]+", viterbi(" ".join(pieces[a[s] : a[e] + 1]).lower(), self.model)) if x)
+        for m in _SPELT.finditer(text):  # a wider gap parts words
+            out.update(x for x in re.split(r"[\W\d_]+", viterbi(m[0].lower(), self.model, spelt=True)) if x)
         return out
 
 
@@ -185,7 +209,7 @@ def document_features(words: set[str]) -> set[str]:
 
 
 class Regression:
-    """Logistic regression over binary features, fitted by Newton steps on the dual-free normal equations' diagonal and line search."""
+    """Ridge logistic regression over binary features, fitted by Adagrad on the whole batch."""
 
     def __init__(self, names: list[str], rows: list[list[int]], y: np.ndarray, ridge: float = 0.3):
         self.names = names
@@ -195,7 +219,7 @@ class Regression:
         col = np.array([c for r in rows for c in r], dtype=np.int64)
         w, b = np.zeros(m), math.log((y.sum() + 0.5) / (n - y.sum() + 0.5)) if n else -2.0
         g2, gb2 = np.full(m, 1e-8), 1e-8
-        for _ in range(600 if n else 0):  # Adagrad on the whole batch: deterministic, no line search needed
+        for _ in range(600 if n else 0):
             p = 1 / (1 + np.exp(-(b + np.bincount(at, w[col], n))))
             g = np.bincount(col, (p - y)[at], m) + ridge * w
             gb = (p - y).sum()
@@ -233,8 +257,9 @@ def character_model(docs: DataFrame, text_column: str = "text") -> CharModel:
 def train(docs: DataFrame, labels: DataFrame, model: CharModel, id_column: str = "doc_id", text_column: str = "text", seed: int = 42) -> Regression:
     """Regression on labelled rows whose crc32(id as text) mod 3 is not 1. Conflicting and null labels are left out.
 
-    TRAIN_ROWS labelled ids at most, in hash order; features that the toxic ones among them share (CANDIDATES at most, most frequent
-    first), then the SELECTED ones with the highest likelihood ratio.
+    TRAIN_ROWS labelled ids at most, in hash order. The cluster counts every feature of these rows; those that toxic rows have more
+    often than others, with a likelihood-ratio statistic of SCREEN or more, make the regression. Rows are put in order before it, so
+    that sums don't depend on how they came.
     """
     spark = docs.sparkSession
     y = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most AND doc_id IS NOT NULL").select("doc_id", "toxic")
@@ -242,46 +267,42 @@ def train(docs: DataFrame, labels: DataFrame, model: CharModel, id_column: str =
     y = spark.createDataFrame(y.collect(), "doc_id long, toxic int")  # TRAIN_ROWS small rows at most
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).join(F.broadcast(y), "doc_id")
 
-    def per_document(batches, use) -> Iterator:
+    def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model)
         for b in in_slices(batches):
-            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                use(toxic, document_features(restore.words(text or "")))
-            yield
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([sorted(restore.words(x or "")) for x in b.column("text").to_pylist()], pa.list_(pa.string()))], names=["toxic", "words"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
-        for _ in per_document(batches, lambda _, f: c.update(f)):
-            pass
-        yield pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.string()), pa.array(list(c.values()), pa.int64())], names=["f", "n"])
+    words = written(rows.mapInArrow(restored, "toxic int, words array<string>"), "toxicity-training")
 
-    common = rows.filter("toxic = 1").mapInArrow(count, "f string, n long").groupBy("f").agg(F.sum("n").alias("n")).filter("n >= 2")
-    names = [r[0] for r in common.orderBy(F.desc("n"), "f").limit(CANDIDATES).collect()]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        for b in in_slices(batches):
+            for toxic, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                seen[toxic > 0].update(document_features(set(w)))
+        names = list(seen[1])  # what no toxic row has can't be tied to the label
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[1][f] for f in names], pa.int64()), pa.array([0] * len(names), pa.int64())], names=["f", "t", "c"])
+        names = list(seen[0])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([0] * len(names), pa.int64()), pa.array([seen[0][f] for f in names], pa.int64())], names=["f", "t", "c"])
+
+    n_t, n_c = words.filter("toxic > 0").count(), words.filter("toxic <= 0").count()
+    t, c = F.col("t").cast("double"), F.col("c").cast("double")
+    log = lambda x, of: F.when(x > 0, x * F.log(x / of)).otherwise(F.lit(0.0))
+    both = t + c
+    ratio = 2 * (log(t, both * n_t / (n_t + n_c)) + log(c, both * n_c / (n_t + n_c)) + log(n_t - t, (n_t + n_c - both) * n_t / (n_t + n_c)) + log(n_c - c, (n_t + n_c - both) * n_c / (n_t + n_c)))
+    names = []
+    if n_t and n_c:
+        counted = words.mapInArrow(count, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+        names = [x[0] for x in counted.filter((t * n_c > c * n_t) & (ratio >= SCREEN)).select("f").orderBy("f").collect()]
     index = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list = []
         known = index.value
-        for _ in per_document(batches, lambda toxic, f: kept.append((toxic, sorted(known[x] for x in f if x in known)))):
-            pass
-        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in kept], pa.int32()), pa.array([f for _, f in kept], pa.list_(pa.int32()))], names=["toxic", "f"])
-
-    encoded = rows.mapInArrow(encode, "toxic int, f array<int>")
-    from pagewright.llm.common import written
-
-    encoded = written(encoded, "toxicity-training")
-    both = encoded.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).collect()
-    n_t, n_c = encoded.filter("toxic = 1").count(), encoded.filter("toxic = 0").count()
-    ranked = []
-    for f, t, c in both:
-        p, q = (t + 0.1) / (n_t + 0.2), (c + 0.1) / (n_c + 0.2)
-        if p > 4 * q:
-            ranked.append((-(t * math.log(p / q)), names[f], f))
-    ranked = sorted(ranked)[:SELECTED]
-    place = {f: i for i, (_, _, f) in enumerate(ranked)}
-    few = F.array(*[F.lit(f) for f in place]) if place else F.array().cast("array<int>")
-    got = encoded.select("toxic", F.array_intersect("f", few).alias("f")).collect()  # TRAIN_ROWS rows, a few numbers each
-    return Regression([x for _, x, _ in ranked], [[place[f] for f in r["f"]] for r in got], np.array([r["toxic"] for r in got], dtype=np.float64))
+        for b in in_slices(batches):
+            found = [sorted(known[f] for f in document_features(set(w)) if f in known) for w in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "f"])
+
+    got = sorted((x["f"], x["toxic"]) for x in words.mapInArrow(encode, "toxic int, f array<int>").collect())  # TRAIN_ROWS rows, some numbers each
+    return Regression(names, [f for f, _ in got], np.array([y > 0 for _, y in got], dtype=np.float64))
 
 
 class Scorer:

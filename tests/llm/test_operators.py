@@ -22,7 +22,7 @@ from pagewright.llm import op07_best_fit as O7
 from pagewright.llm import op08_mixing as O8
 from pagewright.llm import op09_jaccard_join as O9
 from pagewright.llm import op10_log_bilinear as O10
-from pagewright.llm.induced_sorting import suffix_order
+from pagewright.llm.common import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -158,7 +158,7 @@ def test_op4_threshold_does_not_depend_on_row_order(spark, monkeypatch):
     monkeypatch.setattr(O4, "LABELLED_ROWS", 10)
     rng = random.Random(4)
     rows = [(i % 10, "".join(rng.choice("abc DE#*.! ") for _ in range(rng.randint(120, 900)))) for i in range(400)]
-    table = O4._table(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text").localCheckpoint()
+    table = written(O4._table(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text"), "test")
     labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
     assert len({O4.fit(t, labels)[1] for t in (table, table.orderBy("n_words"), table.orderBy(F.desc("n_symbols")), table.repartition(5))}) == 1
 
@@ -189,13 +189,6 @@ def test_op6(docs, empty):
     assert O6.deduplicate(empty).count() == 0
 
 
-def test_suffix_order():
-    rng = np.random.default_rng(3)
-    for k in range(80):
-        t = np.append(rng.integers(1, 3 + k % 2, rng.integers(1, 50)), 0).astype(np.uint8)
-        assert suffix_order(t, 10**6, 64 if k % 3 else 1 << 20).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tobytes())
-
-
 def test_op7(docs, empty):
     got = O7.best_fit(docs, capacities=(64, 256, 512)).toPandas()
     assert got["n_tokens"].sum() == sum(len(WORD.findall(r[1] or "")) + 1 for r in corpus())
