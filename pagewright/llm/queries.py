@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagewright.llm.common import documents
+from pagewright.llm.oracles import SQL as SQL
 
 
 def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,32 +60,6 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir, "doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-SQL_OP8 = r"""
-WITH d AS (
-  SELECT doc_id, coalesce(source, chr(1114111)) AS source, len(list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda x: x <> '')) AS size, md5('42:' || doc_id) AS key
-  FROM documents),
-s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source) AS n FROM d GROUP BY source),
-w AS (SELECT source, source_size, CASE (n - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight FROM s),
-f AS (
-  SELECT *, source_size / weight AS fill,
-    (1.5::DOUBLE * sum(source_size) OVER () - 2.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-      / sum(weight) OVER (ORDER BY source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
-  FROM w),
-r AS (SELECT arg_min(rate, fill) AS rate FROM f WHERE NOT rate > 2.0 * fill),
-t AS (
-  SELECT f.source, source_size, coalesce(CASE WHEN f.rate > 2.0 * fill THEN 2.0::DOUBLE * source_size ELSE least(weight * r.rate, 2.0::DOUBLE * source_size) END, 0)::DOUBLE AS target
-  FROM f CROSS JOIN (SELECT max(rate) AS rate FROM r) r),
-p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS budget,
-    (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS start
-  FROM d JOIN t ON d.source = t.source)
-SELECT doc_id, size::BIGINT AS size, source_size, target,
-  (CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END * size
-    + greatest(0, least(size, budget - CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END * source_size - start)))::BIGINT AS taken
-FROM p
-"""
-
-
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.op09_jaccard_join import jaccard_components
 
@@ -98,4 +73,3 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_planes, op2_scaled_sketch, op3_toxicity, op4_isolation_forest, op5_line_winnowing, op6_suffix_dedup, op7_best_fit, op8_mixing, op9_jaccard_join, op10_log_bilinear)}
-SQL: dict[str, str] = {"op8_mixing": SQL_OP8}
