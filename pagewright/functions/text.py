@@ -203,6 +203,22 @@ def block_text(kind: Column, content: Column, items: Column, columns: Column, ro
     return F.when(kind == "table", table).when(kind == "list", listed).otherwise(F.coalesce(content, F.lit("")))
 
 
+def page_block_text(kind: Column, content: Column, columns: Column, rows: Column) -> Column:
+    """A block's text for the search of PDF lines: its content if there is any, and a table's cells and then column names."""
+    empty = F.array().cast("array<string>")
+    own = F.when(strip(F.coalesce(content, F.lit(""))) != "", F.array(content)).otherwise(empty)
+    table = F.when(kind == "table", F.concat(_some(F.coalesce(cell_texts(rows), empty)), _some(F.coalesce(columns, empty)))).otherwise(empty)
+    return F.array_join(F.concat(own, table), " ")
+
+
+def verify_text(kind: Column, content: Column, items: Column, columns: Column, rows: Column) -> Column:
+    """a block's text for the draft's verification: a list's items by line, a table's column names and cells by space."""
+    empty = F.array().cast("array<string>")
+    listed = F.array_join(F.transform(items, lambda i: F.coalesce(i["content"], F.lit(""))), "\n")
+    table = F.array_join(F.concat(F.coalesce(columns, empty), F.coalesce(cell_texts(rows), empty)), " ")
+    return F.when(kind == "table", table).when((kind == "list") & items.isNotNull(), listed).otherwise(F.coalesce(content, F.lit("")))
+
+
 def norm_key(kind: Column, content: Column, items: Column | None = None, columns: Column | None = None, rows: Column | None = None) -> Column:
     """the text that duplicates are found by."""
     text = F.coalesce(content, F.lit(""))
@@ -222,5 +238,5 @@ def fingerprint(kind: Column, level: Column, image_key: Column, latex_or_content
         .when(kind == "list", n_items.cast("string"))
         .when(kind == "heading", level.cast("string"))
         .when(kind == "image", F.coalesce(image_key, F.lit("")))
-        .when(kind == "formula", F.concat_ws(",", has(latex_or_content), has(image_key)))
+        .when(kind == "formula", F.concat_ws(",", has(strip(F.coalesce(latex_or_content, F.lit("")))), has(image_key)))
     )

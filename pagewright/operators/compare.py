@@ -12,55 +12,81 @@ from pagewright.functions import text as X
 CUT = 300
 
 
+ITEMS = "array<struct<content:string,bbox:array<double>>>"
+ROWS = "array<struct<cells:array<struct<block:array<struct<content:string>>>>>>"
+
+
 def prepared(blocks: DataFrame) -> DataFrame:
-    """What comparing needs of a block: text and its normal form, structure, image key."""
+    """What comparing needs of a block: text and its normal form, that form's own (which likeness is taken of), structure, image key.
+
+    Columns that the table lacks count as null; without `items` a list's lines are its items.
+    """
     c = blocks.columns
     get = lambda n, kind: F.col(n) if n in c else F.lit(None).cast(kind)
-    items, columns = get("items", "array<struct<content:string,bbox:array<double>>>"), get("columns", "array<string>")
-    if "rows" in c:
-        text = X.block_text(F.col("type"), F.col("content"), items, columns, F.col("rows"))
-        n_rows, n_items = F.size("rows"), F.size(items)
-    else:
-        text, n_rows, n_items = F.coalesce("content", F.lit("")), F.lit(0), F.size(F.split(F.coalesce("content", F.lit("")), "\n"))
+    lines = F.transform(F.split(F.coalesce("content", F.lit("")), "\n"), lambda x: F.struct(x.alias("content"), F.lit(None).cast("array<double>").alias("bbox")))
+    items, columns, rows = F.col("items") if "items" in c else lines, get("columns", "array<string>"), get("rows", ROWS)
+    text = X.block_text(F.col("type"), F.col("content"), items, columns, rows)
     key = get("image_key", "string")
-    shape = X.fingerprint(F.col("type"), get("heading_level", "int"), key, F.col("content"), F.coalesce(F.size(columns), F.lit(0)), n_rows, n_items)
-    return blocks.select("doc_id", "page", "seq", "type", text.alias("text"), X.norm_compare(text).alias("norm"), key.alias("image_key"), shape.alias("shape"))
+    size = lambda x: F.coalesce(F.size(x), F.lit(0))
+    shape = X.fingerprint(F.col("type"), get("heading_level", "int"), key, F.col("content"), F.greatest(size(columns), F.lit(0)), F.greatest(size(rows), F.lit(0)), F.greatest(size(items), F.lit(0)))
+    return blocks.select("doc_id", "page", "seq", "type", text.alias("text"), X.norm_compare(text).alias("norm"), X.norm_compare(X.norm_compare(text)).alias("deep"), key.alias("image_key"), shape.alias("shape"))
+
+
+class Unused:
+    """A page's result blocks that no golden block took, in order; equal texts and image keys are looked up, not searched for."""
+
+    def __init__(self, rows: list[dict]):
+        self.rows = dict(enumerate(rows))
+        self.equal: dict[tuple, list[int]] = {}
+        for j, r in reversed(self.rows.items()):
+            name = ("text", r["type"], r["norm"]) if r["norm"] else ("image", r["type"], r["image_key"])
+            self.equal.setdefault(name, []).append(j)
+        for j, r in reversed(self.rows.items()):  # an image with text can be asked for by its key as well
+            if r["norm"] and r["type"] == "image":
+                self.equal.setdefault(("image", "image", r["image_key"]), []).append(j)
+        for x in self.equal.values():
+            x.sort(reverse=True)
+
+    def first(self, *name) -> int | None:
+        left = self.equal.get(name, [])
+        while left and left[-1] not in self.rows:
+            left.pop()
+        return left[-1] if left else None
+
+    def likest(self, g: dict, same_type: bool, least: float) -> tuple[int | None, float]:
+        """The first block with the highest ratio from `least` on, among those of the type or of all others.
+
+        Twice the shorter length over both bounds a ratio, so that what can't win isn't computed.
+        """
+        best, top = None, least
+        for j, r in self.rows.items():
+            if (r["type"] == g["type"]) != same_type or not r["norm"]:
+                continue
+            n, m = len(g["deep"]), len(r["deep"])
+            if n + m and 2 * min(n, m) / (n + m) < top:
+                continue
+            s = S.ratio_of(g["deep"], r["deep"])
+            if s > top or best is None and s >= top:
+                best, top = j, s
+                if top == 1.0 or not same_type:
+                    break
+        return best, top
 
 
 def _pairs(golden: list[dict], result: list[dict], threshold: float) -> list[tuple]:
-    """Golden blocks in order; each takes the first equal block of its type, else the likest unused one."""
-    used: set[int] = set()
-    out = []
+    """(seq, result's seq, likeness, type break) for the golden blocks of a page, in order."""
+    unused, out = Unused(result), []
     for g in golden:
-        best, likeness, wrong = None, 0.0, 0.0
-        if not g["norm"]:
-            if g["type"] == "image" and g["image_key"]:
-                best = next((j for j, r in enumerate(result) if j not in used and r["type"] == "image" and r["image_key"] == g["image_key"]), None)
-                likeness = 1.0
+        broken, likeness = False, 1.0
+        if g["norm"]:
+            j = unused.first("text", g["type"], g["norm"])
+            if j is None:
+                j, likeness = unused.likest(g, True, threshold)
+                broken = j is None and unused.likest(g, False, threshold)[0] is not None
         else:
-            for j, r in enumerate(result):
-                if j in used or not r["norm"]:
-                    continue
-                same = r["type"] == g["type"]
-                n, m = len(g["norm"]), len(r["norm"])
-                # 2 * min / (n + m) bounds the ratio, so that what can't matter is not computed.
-                if r["norm"] == g["norm"]:
-                    s = 1.0
-                elif 2 * min(n, m) / (n + m) < max(threshold, likeness if same else wrong):
-                    continue
-                else:
-                    s = S.ratio_of(g["norm"], r["norm"])
-                if same and s > likeness:
-                    best, likeness = j, s
-                elif not same and s > wrong:
-                    wrong = s
-                if same and r["norm"] == g["norm"]:
-                    best, likeness = j, 1.0
-                    break
-        hit = best is not None and likeness >= threshold
-        if hit:
-            used.add(best)
-        out.append((g["seq"], result[best]["seq"] if hit else None, likeness if hit else None, bool(not hit and g["norm"] and wrong >= threshold)))
+            j = unused.first("image", "image", g["image_key"]) if g["type"] == "image" and g["image_key"] else None
+        taken = unused.rows.pop(j)["seq"] if j is not None else None
+        out.append((g["seq"], taken, likeness if j is not None else None, broken))
     return out
 
 
@@ -120,10 +146,9 @@ def scores(status: DataFrame, *keys: str) -> DataFrame:
 
 def score_rollup(status: DataFrame) -> DataFrame:
     """M4, M6 and M7 in one pass, as grouping sets (), (type) and (page)."""
-    view = "status_of_blocks"
-    status.createOrReplaceTempView(view)
     out = status.sparkSession.sql(
-        f"SELECT type, page, count_if(side = 'golden') AS golden, count_if(side = 'result') AS result, count_if(side = 'golden' AND status = 'ok') AS matched FROM {view} GROUP BY GROUPING SETS ((), (type), (page))"
+        "SELECT type, page, count_if(side = 'golden') AS golden, count_if(side = 'result') AS result, count_if(side = 'golden' AND status = 'ok') AS matched FROM {blocks} GROUP BY GROUPING SETS ((), (type), (page))",
+        blocks=status,
     )
     g, r, m = F.col("golden"), F.col("result"), F.col("matched")
     return out.withColumns({"precision": _ratio(m, r), "recall": _ratio(m, g), "f1": f1_of(m, g, r)})

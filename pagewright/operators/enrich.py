@@ -16,6 +16,7 @@ TABLE_CAPTION = r"(?U)^Таблица\s+\d{1,2}(?:\.\d{1,2}){1,2}(?=$|\s)"
 MATH_SHARE, LEAST_KEY, SAME_PLACE = 0.3, 3, 0.5
 TITLE_LEVELS = ((0.7, 1), (0.45, 2))
 TITLE_LENGTH = 12
+ROWS = "array<struct<cells:array<struct<block:array<struct<content:string>>>>>>"
 MARKER = '<div class="formula-not-decoded">Formula not decoded</div>'
 
 
@@ -43,18 +44,24 @@ def substitute_undecoded(pages: DataFrame, boxes: DataFrame, lines: DataFrame, p
 
 
 def page_text(blocks: DataFrame) -> DataFrame:
-    """All block texts of a page as one, without separators after a leading space."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", X.norm_pdf(F.coalesce("content", F.lit(""))).alias("t")))), lambda x: x["t"])
-    return blocks.groupBy("doc_id", "page").agg(F.concat(F.lit(" "), F.array_join(ordered, "")).alias("page_text"))
+    """All block texts of a page as one, without separators after a leading space; blank blocks don't count. A table's text is its
+    content, cells and column names."""
+    get = lambda n, kind: F.col(n) if n in blocks.columns else F.lit(None).cast(kind)
+    text = X.page_block_text(F.col("type"), F.col("content"), get("columns", "array<string>"), get("rows", ROWS)) if "type" in blocks.columns else F.coalesce("content", F.lit(""))
+    d = blocks.select("doc_id", "page", "seq", text.alias("t")).filter(X.strip(F.col("t")) != "")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", X.norm_pdf(F.col("t")).alias("t")))), lambda x: x["t"])
+    return d.groupBy("doc_id", "page").agg(F.concat(F.lit(" "), F.array_join(ordered, "")).alias("page_text"))
 
 
 def missing_lines(lines: DataFrame, texts: DataFrame) -> DataFrame:
     """Lines that the page's blocks don't hold, not even without a closing number or without spaces."""
-    j = lines.withColumn("norm", X.norm_pdf(F.col("text"))).join(texts, ["doc_id", "page"], "left").withColumn("page_text", F.coalesce("page_text", F.lit("")))
+    texts = texts.withColumn("page_flat", X.flat(F.col("page_text")))  # once a page, not once a line
+    d = lines.withColumn("norm", X.norm_pdf(F.col("text"))).withColumn("flat", X.flat(F.col("norm")))
+    j = d.join(texts, ["doc_id", "page"], "left").withColumn("page_text", F.coalesce("page_text", F.lit(""))).withColumn("page_flat", F.coalesce("page_flat", F.lit("")))
     bare = F.regexp_replace("norm", r"(?U)[\d\s]+\s*$", "")
     t = F.col("page_text")
-    held = t.contains(F.col("norm")) | ((bare != "") & ~bare.rlike(r"[-.]$") & t.contains(bare)) | X.flat(t).contains(X.flat(F.col("norm")))
-    return j.filter(~((t != "") & held)).drop("page_text")
+    held = t.contains(F.col("norm")) | ((bare != "") & ~bare.rlike(r"[-.]$") & t.contains(bare)) | F.col("page_flat").contains(F.col("flat"))
+    return j.filter(~((t != "") & held)).drop("page_text", "page_flat", "flat")
 
 
 def line_kind(text: Column, math_share: Column) -> Column:
@@ -130,18 +137,25 @@ def overlay(*indexes: DataFrame) -> DataFrame:
 
 def lookup(texts: DataFrame, index: DataFrame) -> DataFrame:
     """Texts (doc_id, page, seq, text) with the box of their text, else of it without closing dots, else of that and one dot."""
-    n = X.norm_pdf(F.col("text"))
+    return texts.join(_found(texts, index), ["doc_id", "page", "seq"], "left")
+
+
+def _found(texts: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc_id, page, seq, bbox) of the texts that `lookup` finds. Rows are dealt by a hash of the text, which is compared as well."""
+    n = F.col("n")
     bare = F.regexp_replace(n, r"\.+$", "")
-    keys = texts.select("doc_id", "page", "seq", F.posexplode(F.array(n, bare, F.concat(bare, F.lit(".")))).alias("rank", "norm"))
-    found = keys.join(index.select("doc_id", "page", "norm", "bbox"), ["doc_id", "page", "norm"]).groupBy("doc_id", "page", "seq").agg(F.min_by("bbox", "rank").alias("bbox"))
-    return texts.join(found, ["doc_id", "page", "seq"], "left")
+    tries = F.array_distinct(F.array(n, bare, F.concat(bare, F.lit("."))))
+    keys = texts.select("doc_id", "page", "seq", X.norm_pdf(F.col("text")).alias("n")).select("doc_id", "page", "seq", F.posexplode(tries).alias("rank", "norm")).filter(F.length("norm") >= LEAST_KEY)
+    side = index.select("doc_id", "page", F.col("norm").alias("held"), F.xxhash64("norm").alias("h"), "bbox")
+    hits = keys.withColumn("h", F.xxhash64("norm")).join(side, ["doc_id", "page", "h"]).filter(F.col("norm") == F.col("held"))
+    return hits.groupBy("doc_id", "page", "seq").agg(F.min_by("bbox", "rank").alias("bbox"))
 
 
 def restore_boxes(blocks: DataFrame, index: DataFrame) -> DataFrame:
     """Boxes of blocks by their text, of lists and tables as the union of their parts; formulas with a box keep it."""
     part = F.when(F.col("type") == "list", F.split("content", "\n")) if "rows" not in blocks.columns else F.when(F.col("type") == "list", F.transform("items", lambda i: i["content"])).when(F.col("type") == "table", X.cell_texts(F.col("rows")))
     parts = blocks.select("doc_id", "page", F.col("seq").alias("block"), F.posexplode(F.coalesce(part, F.array("content"))).alias("k", "text")).withColumn("seq", F.struct("block", "k"))
-    got = lookup(parts.select("doc_id", "page", "seq", "text"), index).filter("bbox IS NOT NULL").groupBy("doc_id", "page", F.col("seq.block").alias("seq")).agg(G.union_agg(F.col("bbox")).alias("found"))
+    got = _found(parts.select("doc_id", "page", "seq", "text"), index).groupBy("doc_id", "page", F.col("seq.block").alias("seq")).agg(G.union_agg(F.col("bbox")).alias("found"))
     keep = (F.col("type") == "formula") & G.known(F.col("bbox"))
     return blocks.join(got, ["doc_id", "page", "seq"], "left").withColumn("bbox", F.when(keep, F.col("bbox")).otherwise(F.coalesce("found", "bbox"))).select(*blocks.columns)
 

@@ -12,6 +12,8 @@ from pagewright.functions import text as X
 MARKUP_TYPES = {"par": "paragraph", "h": "heading", "img": "image", "table": "table", "li": "list", "formula": "formula"}
 LOCATE_RATIO, LOCATE_TOP, NEIGHBOURS, NEIGHBOUR_RATIO = 0.6, 8, 6, 0.3
 LONG_BLOCK, SAMPLE_TOP, SAMPLE_LENGTH = 20, 60, 3
+ITEMS = "array<struct<content:string,bbox:array<double>>>"
+ROWS = "array<struct<cells:array<struct<block:array<struct<content:string>>>>>>"
 
 
 def _case(c, table: dict[str, str]):
@@ -47,6 +49,19 @@ def missing_from(source: DataFrame, blocks: DataFrame, fuzzy: bool = True) -> Da
     return left.select("doc_id", "page", "seq", "content")
 
 
+def unsupported(blocks: DataFrame, source: DataFrame, fuzzy: bool = True) -> DataFrame:
+    """M12, the other way: blocks of LONG_BLOCK characters or more whose text the page's source lines (content) don't hold."""
+    get = lambda n, kind: F.col(n) if n in blocks.columns else F.lit(None).cast(kind)
+    text = X.verify_text(F.col("type"), F.col("content"), get("items", ITEMS), get("columns", "array<string>"), get("rows", ROWS))
+    hay = page_texts(source, "content").select("doc_id", "page", X.norm_verify_flat(F.col("all_text")).alias("hay"))
+    d = blocks.select("doc_id", "page", "seq", "type", text.alias("content")).filter(F.length(X.strip(F.col("content"))) >= LONG_BLOCK).withColumn("needle", X.norm_verify_flat(F.col("content")))
+    j = d.join(hay, ["doc_id", "page"], "left").withColumn("hay", F.coalesce("hay", F.lit("")))
+    left = j.filter((F.col("needle") != "") & ~F.col("hay").contains(F.col("needle")))
+    if fuzzy:
+        left = left.filter(~S.fuzzy_contained("needle", "hay"))
+    return left.select("doc_id", "page", "seq", "type", "content")
+
+
 def locate_drafts(drafts: DataFrame, lines: DataFrame) -> DataFrame:
     """Boxes of draft blocks: the union of the likest lines of the page and of near neighbours of the best one.
 
