@@ -250,25 +250,70 @@ def drop_empty(spark, sf_dir):
     return _digest(C.drop_empty_formulas(C.drop_empty_lists(lines(spark, sf_dir))))
 
 
-@query(None)
+# Formulas of a page in order; `a` is the list of anchors so far, each with its number and band.
+_HALF = "y0 * 0.5 AS y0, y1 * 0.5 AS y1"
+_IN_BAND = "least({0}.y1, {1}.y1) - greatest({0}.y0, {1}.y0) > 0.5"
+
+
+@query("WITH RECURSIVE " + BOXES_SQL + f""", d AS (SELECT doc_id, page, seq, type, content, {_HALF} FROM boxes),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY seq) AS n FROM d WHERE type = 'formula'),
+r AS (SELECT doc_id, page, seq, n, seq AS anchor, [{{'seq': seq, 'y0': y0, 'y1': y1}}] AS a FROM f WHERE n = 1 UNION ALL
+  SELECT f.doc_id, f.page, f.seq, f.n, coalesce(hit.seq, f.seq), CASE WHEN hit IS NULL THEN list_append(r.a, {{'seq': f.seq, 'y0': f.y0, 'y1': f.y1}}) ELSE r.a END
+  FROM (SELECT r.*, f.seq AS f_seq, list_filter(r.a, lambda x: least(x.y1, f.y1) - greatest(x.y0, f.y0) > 0.5)[1] AS hit FROM r JOIN f ON f.doc_id = r.doc_id AND f.page = r.page AND f.n = r.n + 1) r JOIN f ON f.doc_id = r.doc_id AND f.page = r.page AND f.seq = r.f_seq),
+m AS (SELECT r.doc_id, r.anchor AS seq, string_agg(trim(content), ' ' ORDER BY r.seq) FILTER (trim(content) <> '') AS text, count(*) AS k FROM r JOIN d ON d.doc_id = r.doc_id AND d.seq = r.seq GROUP BY r.doc_id, r.anchor)
+SELECT d.doc_id, d.seq, d.page, d.type, md5(CASE WHEN k > 1 THEN coalesce(text, '') ELSE content END) AS content FROM d LEFT JOIN m ON m.doc_id = d.doc_id AND m.seq = d.seq WHERE type <> 'formula' OR m.seq IS NOT NULL""")
 def geo_merge(spark, sf_dir):
     d = boxes(spark, sf_dir).withColumn("bbox", F.transform("bbox", lambda v, i: F.when((i == 1) | (i == 3), v * 0.5).otherwise(v)))
     return _digest(C.merge_by_geometry(d))
 
 
-@query(None)
+@query("WITH RECURSIVE " + BOXES_SQL + f""", d AS (SELECT doc_id, page, seq, type, CASE WHEN seq % 7 = 6 THEN 'для всех' ELSE content END AS content, x0, {_HALF} FROM boxes),
+f AS (SELECT f.doc_id, f.page, f.seq, list(p.seq ORDER BY p.seq) AS best, row_number() OVER (PARTITION BY f.doc_id, f.page ORDER BY f.seq) AS n
+  FROM d f JOIN d p ON p.doc_id = f.doc_id AND p.page = f.page AND f.type = 'formula' AND p.type = 'paragraph' AND p.content = 'для всех' AND p.x0 >= f.x0 AND {_IN_BAND.format('f', 'p')} GROUP BY f.doc_id, f.page, f.seq),
+r AS (SELECT doc_id, page, seq, n, best[1] AS taken, [best[1]] AS used FROM f WHERE n = 1 UNION ALL
+  SELECT f.doc_id, f.page, f.seq, f.n, list_filter(f.best, lambda x: NOT list_contains(r.used, x))[1], list_append(r.used, list_filter(f.best, lambda x: NOT list_contains(r.used, x))[1]) FROM r JOIN f ON f.doc_id = r.doc_id AND f.page = r.page AND f.n = r.n + 1)
+SELECT d.doc_id, d.seq, d.page, d.type, md5(CASE WHEN r.taken IS NULL THEN content ELSE trim(content) || ' для всех' END) AS content FROM d LEFT JOIN r ON r.doc_id = d.doc_id AND r.seq = d.seq
+WHERE NOT EXISTS (SELECT 1 FROM r x WHERE x.doc_id = d.doc_id AND x.taken = d.seq AND x.taken > x.seq)""")
 def formula_tail(spark, sf_dir):
     d = boxes(spark, sf_dir).withColumn("content", F.when(F.col("seq") % 7 == 6, F.lit("для всех")).otherwise(F.col("content")))
     d = d.withColumn("bbox", F.transform("bbox", lambda v, i: F.when((i == 1) | (i == 3), v * 0.5).otherwise(v)))
     return _digest(C.formula_tails(d))
 
 
-@query(None)
+# Lines get marks and beginnings in lower case by their number, so that every case of the rule is there. The state of a page's fold is
+# the text so far; `h` is the number of the block that it belongs to.
+_MARK = r"'^[0-9]{1,2}\.[0-9]{1,2}(\.[0-9]{1,2})+\s'"
+
+
+@query("WITH RECURSIVE " + LINES_SQL + rf""", d AS (SELECT doc_id, page, seq, CASE WHEN seq % 20 = 0 THEN 'heading' ELSE 'paragraph' END AS type,
+  CASE seq % 6 WHEN 1 THEN 'open ' || seq WHEN 2 THEN '1.2.' || seq % 4 || ' goes on' WHEN 3 THEN 'где x)' WHEN 4 THEN 'где y and z' WHEN 5 THEN '1.3.' || seq % 5 || ' Ends.' ELSE lower(content[:1]) || content[2:] END AS content FROM lines),
+q AS (SELECT *, trim(content) AS raw, lower(trim(regexp_replace(content, '\s+', ' ', 'g'))) AS norm, row_number() OVER (PARTITION BY doc_id, page ORDER BY seq) AS n FROM d),
+b AS (SELECT *, regexp_extract(norm, {_MARK}) AS mark, regexp_replace(raw, {_MARK}, '') AS body FROM q),
+k AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page, mark) > 1 AS known FROM b),
+r AS (SELECT doc_id, page, seq, n, type, seq AS h, content AS t, 'new' AS how FROM k WHERE n = 1 UNION ALL
+  SELECT doc_id, page, seq, n, CASE how WHEN 'new' THEN type ELSE last END, CASE how WHEN 'new' THEN seq ELSE h END,
+    CASE how WHEN 'new' THEN content WHEN 'lost' THEN t WHEN 'after' THEN t || ' ' || raw ELSE trim(regexp_extract(content, {_MARK}) || t) || ' ' || trim(regexp_replace(content, {_MARK}, '')) END, how
+  FROM (SELECT k.*, r.type AS last, r.h, r.t, CASE
+      WHEN k.type <> 'paragraph' OR r.type <> 'paragraph' OR NOT regexp_matches(body, '^\p{{Ll}}') OR trim(r.t) = '' OR regexp_matches(trim(r.t), '[.!?…:;]$') OR (starts_with(body, 'где ') AND regexp_matches(trim(r.t), '[)\]]\s*[0-9]?\s*,?$')) THEN 'new'
+      WHEN mark = '' THEN 'after' WHEN NOT regexp_matches(trim(r.t), {_MARK}) THEN 'first' WHEN known THEN 'after' ELSE 'lost' END AS how
+    FROM r JOIN k ON k.doc_id = r.doc_id AND k.page = r.page AND k.n = r.n + 1))
+SELECT doc_id, h AS seq, page, any_value(type) AS type, md5(arg_max(t, n)) AS content FROM r GROUP BY doc_id, page, h""")
 def paragraph_merge(spark, sf_dir):
-    return _digest(C.merge_broken_paragraphs(boxes(spark, sf_dir)))
-
-
-@query(None)
+    s, n = F.col("seq") % 6, F.col("seq").cast("string")
+    text = F.when(s == 1, F.concat(F.lit("open "), n)).when(s == 2, F.concat(F.lit("1.2."), (F.col("seq") % 4).cast("string"), F.lit(" goes on"))).when(s == 3, F.lit("где x)")).when(s == 4, F.lit("где y and z"))
+    text = text.when(s == 5, F.concat(F.lit("1.3."), (F.col("seq") % 5).cast("string"), F.lit(" Ends."))).otherwise(F.concat(F.lower(F.substring("content", 1, 1)), F.expr("substring(content, 2)")))
+    d = boxes(spark, sf_dir).withColumn("content", text).withColumn("type", F.when(F.col("seq") % 20 == 0, F.lit("heading")).otherwise(F.lit("paragraph")))
+    return _digest(C.merge_broken_paragraphs(d))
+
+
+@query("WITH RECURSIVE " + BOXES_SQL + f""", d AS (SELECT *, seq % 5 AS m FROM boxes),
+f AS (SELECT c.doc_id, c.page, c.seq, list(i.seq ORDER BY c.y0 - i.y1, i.seq) AS best, row_number() OVER (PARTITION BY c.doc_id, c.page ORDER BY c.seq) AS n
+  FROM d c JOIN d i ON i.doc_id = c.doc_id AND i.page = c.page AND c.m = 3 AND i.m = 0 AND c.y0 - i.y1 >= -2 GROUP BY c.doc_id, c.page, c.seq),
+r AS (SELECT doc_id, page, seq, n, best[1] AS taken, [best[1]] AS used FROM f WHERE n = 1 UNION ALL
+  SELECT f.doc_id, f.page, f.seq, f.n, list_filter(f.best, lambda x: NOT list_contains(r.used, x))[1], list_append(r.used, list_filter(f.best, lambda x: NOT list_contains(r.used, x))[1]) FROM r JOIN f ON f.doc_id = r.doc_id AND f.page = r.page AND f.n = r.n + 1),
+o AS (SELECT d.doc_id, d.page, d.seq, d.m, row_number() OVER (PARTITION BY d.doc_id, d.page ORDER BY coalesce(r.taken, d.seq), r.taken IS NOT NULL, d.seq) AS place FROM d LEFT JOIN r ON r.doc_id = d.doc_id AND r.seq = d.seq),
+s AS (SELECT doc_id, page, seq, row_number() OVER (PARTITION BY doc_id, page ORDER BY seq) AS place FROM d)
+SELECT o.doc_id, o.page, s.seq, CASE m WHEN 0 THEN 'image' ELSE 'paragraph' END AS type, CASE m WHEN 0 THEN 'k' || o.seq END AS image_key FROM o JOIN s ON s.doc_id = o.doc_id AND s.page = o.page AND s.place = o.place""")
 def caption_place(spark, sf_dir):
     m = F.col("seq") % 5
     d = boxes(spark, sf_dir).withColumn("type", F.when(m == 0, "image").otherwise("paragraph")).withColumn("image_key", F.when(m == 0, F.concat(F.lit("k"), F.col("seq").cast("string"))))

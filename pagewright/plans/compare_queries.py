@@ -19,7 +19,7 @@ def _prepared(d):
     """Short forms are enough where only equality matters: text as norm."""
     key = X.norm_key(F.col("type"), F.col("content"))
     shape = F.when(F.col("type") == "heading", F.lit("2")).when(F.col("type") == "list", F.length("content").cast("string"))
-    return d.select("doc_id", "page", "seq", "type", F.col("content").alias("text"), key.alias("norm"), F.lit(None).cast("string").alias("image_key"), shape.alias("shape"))
+    return d.select("doc_id", "page", "seq", "type", F.col("content").alias("text"), key.alias("norm"), key.alias("deep"), F.lit(None).cast("string").alias("image_key"), shape.alias("shape"))
 
 
 def _golden(spark, sf_dir):
@@ -116,7 +116,7 @@ def text_coverage(spark, sf_dir):
 @query(None)
 def type_breaks(spark, sf_dir):
     d = lines(spark, sf_dir)
-    r = d.withColumn("type", F.when(F.col("seq") % 2 == 0, F.lit("table")).otherwise(F.col("type")))
+    r = d.withColumn("type", F.when(F.col("seq") % 2 == 0, F.when(F.col("type") == "formula", F.lit("paragraph")).otherwise(F.lit("formula"))).otherwise(F.col("type")))
     return M.greedy_match(M.prepared(d), M.prepared(r)).filter("type_break").select("doc_id", "page", "seq")
 
 
@@ -137,6 +137,12 @@ def verify_draft_exact(spark, sf_dir):
     return D.missing_from(d, d.filter(F.col("seq") % 4 != 2), fuzzy=False).select("doc_id", "page", "seq")
 
 
+@query(f"WITH {LINES_SQL}, p AS (SELECT doc_id, page, {_FLAT.format('''string_agg(content, ' ' ORDER BY seq)''')} AS hay FROM lines WHERE seq % 4 <> 2 GROUP BY doc_id, page), l AS (SELECT lines.doc_id, page, seq, type, content, {_FLAT.format('content')} AS needle, coalesce(hay, '') AS hay FROM lines LEFT JOIN p USING (doc_id, page)) SELECT doc_id, page, seq, type FROM l WHERE length(trim(content)) >= 20 AND needle <> '' AND NOT contains(hay, needle)")
+def unsupported_blocks(spark, sf_dir):
+    d = lines(spark, sf_dir)
+    return D.unsupported(d, d.filter(F.col("seq") % 4 != 2), fuzzy=False).select("doc_id", "page", "seq", "type")
+
+
 @query(None)
 def verify_draft(spark, sf_dir):
     d = lines(spark, sf_dir)
@@ -187,9 +193,10 @@ def render_page_sections(spark, sf_dir):
     return V.page_sections(V.block_html(lines(spark, sf_dir))).select("doc_id", "section", "page", F.md5("html").alias("html"))
 
 
-@query(None)
+@query(f"""WITH {LINES_SQL}, s AS (SELECT doc_id, page, '<section class="page" id="page-' || page || '" data-page="' || page || '"><div class="page-label"><a href="#page-' || page || '">Страница ' || page || '</a></div>' || string_agg({_HTML}, '' ORDER BY seq) || '</section>' AS html FROM lines GROUP BY doc_id, page)
+SELECT doc_id, md5('<!DOCTYPE html><html><head><meta charset="utf-8"><title>' || doc_id || '</title></head><body><nav>' || string_agg('<a href="#page-' || page || '">' || page || '</a>', ' ' ORDER BY page) || '</nav>' || string_agg(html, chr(10) ORDER BY page) || '</body></html>') AS html FROM s GROUP BY doc_id""")
 def render_document_html(spark, sf_dir):
-    return V.document_html(V.block_html(lines(spark, sf_dir)))
+    return V.document_html(V.block_html(lines(spark, sf_dir))).select("doc_id", F.md5("html").alias("html"))
 
 
 @query(f"WITH {_MATCH}, c AS (SELECT type, {_COUNTS} FROM st GROUP BY type), x AS (SELECT *, row_number() OVER (ORDER BY doc_id, page, seq) AS n FROM st WHERE status = 'missed') SELECT 1 AS part, row_number() OVER (ORDER BY type) AS n, '| ' || type || ' | ' || golden || ' | ' || result || ' | ' || matched || ' |' AS line FROM c UNION ALL SELECT 2, n, '- p' || page || ' ' || type || ': ' || substring(content, 1, 150) FROM x WHERE n <= 50 UNION ALL SELECT 3, 0, '… and ' || (count(*) - 50) || ' more' FROM x HAVING count(*) > 50")

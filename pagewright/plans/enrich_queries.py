@@ -57,9 +57,20 @@ def image_candidates(spark, sf_dir):
 _NORM = r"regexp_replace(regexp_replace(lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '\s+', ' ', 'g'), '[—–]', '-', 'g'), '\s+([,.;:])', '\1', 'g'), '\(\s+', '(', 'g'), '\s+\)', ')', 'g'), '([а-яёa-z0-9])\s+([0-9])', '\1\2', 'g'))), '^$', ''), '^$', '')"
 
 
-@query(f"WITH {LINES_SQL} SELECT doc_id, page, md5(' ' || string_agg({_NORM.format('content')}, '' ORDER BY seq)) AS page_text FROM lines GROUP BY doc_id, page")
+def _with_tables(d):
+    """Every fourth line is a table without content: its words are the cells of one row, and it has a column name."""
+    block = lambda w: F.struct(F.array(F.struct(w.alias("content"))).alias("block"))
+    rows = F.array(F.struct(F.transform(F.split("content", " "), block).alias("cells")))
+    t = F.col("seq") % 4 == 1
+    return d.withColumns({"rows": F.when(t, rows), "columns": F.when(t, F.array(F.lit("Col"), F.lit(""))), "type": F.when(t, F.lit("table")).otherwise(F.col("type")), "content": F.when(~t, F.col("content"))})
+
+
+_TABLE_TEXT = "CASE WHEN seq % 4 = 1 THEN array_to_string(list_filter(string_split(content, ' '), lambda x: x <> ''), ' ') || CASE WHEN trim(content) = '' THEN 'Col' ELSE ' Col' END ELSE content END"
+
+
+@query(f"WITH {LINES_SQL} SELECT doc_id, page, md5(' ' || string_agg({_NORM.format(_TABLE_TEXT)}, '' ORDER BY seq)) AS page_text FROM lines WHERE trim({_TABLE_TEXT}) <> '' GROUP BY doc_id, page")
 def page_text(spark, sf_dir):
-    return E.page_text(lines(spark, sf_dir)).select("doc_id", "page", F.md5("page_text").alias("page_text"))
+    return E.page_text(_with_tables(lines(spark, sf_dir))).select("doc_id", "page", F.md5("page_text").alias("page_text"))
 
 
 @query(f"""WITH {LINES_SQL}, p AS (SELECT doc_id, page, ' ' || string_agg({_NORM.format('content')}, '' ORDER BY seq) AS t FROM lines WHERE seq % 3 <> 1 GROUP BY doc_id, page),

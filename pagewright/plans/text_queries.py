@@ -73,9 +73,13 @@ def verify_norms(spark, sf_dir):
     return lines(spark, sf_dir).select("doc_id", "seq", F.md5(X.norm_verify_flat(F.col("content"))).alias("flat"))
 
 
-@query(None)
+_CLOSE = r"regexp_replace(regexp_replace({0}, '([\p{{L}}\p{{N}}_]) ([\p{{L}}\p{{N}}_])', '\1\2', 'g'), '([\p{{L}}\p{{N}}_]) ([\p{{L}}\p{{N}}_])', '\1\2', 'g')"
+_ONE = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
+
+
+@query(f"""WITH {LINES_SQL} SELECT doc_id, seq, md5(lower({_CLOSE.format(_ONE.format("regexp_replace(content, '[^\\p{L}\\p{N}_\\s]', ' ', 'g')"))})) AS words, md5(lower({_CLOSE.format(_ONE.format("content"))})) AS draft FROM lines""")
 def draft_norms(spark, sf_dir):
-    return lines(spark, sf_dir).select("doc_id", "seq", X.norm_verify_words(F.col("content")).alias("words"), X.norm_draft(F.col("content")).alias("draft"))
+    return lines(spark, sf_dir).select("doc_id", "seq", F.md5(X.norm_verify_words(F.col("content"))).alias("words"), F.md5(X.norm_draft(F.col("content"))).alias("draft"))
 
 
 @query(f"WITH {LINES_SQL} SELECT doc_id, seq, 'Таблица 2.1 ' || regexp_extract(content, '^[^ ]*') || ' ab c' AS joined FROM lines WHERE regexp_matches(content, '^[a-z][a-zA-Z]+[.,]? ')")

@@ -101,6 +101,26 @@ def test_paragraph_merge(spark):
     assert shown(C.merge_broken_paragraphs(lost, parity=False)) == [(P, "8.1.3 по"), (P, "8.1.4 и 8")]
 
 
+def test_zero_rebuild_keeps_images(spark):
+    b = blocks(spark, (P, "= 0, если мало"), (FO, "s1 грузовых судов.", {"image_key": "k"}))
+    assert shown(C.rebuild_zero(b)) == [(P, "= 0, если мало"), (FO, "s1 грузовых судов.")]
+
+
+def test_blank_formula_has_no_content(spark):
+    b = M.prepared(blocks(spark, (FO, "  "), (FO, "x"), (FO, None, {"image_key": "k"})))
+    assert [r["shape"] for r in b.orderBy("seq").collect()] == ["false,false", "true,false", "false,true"]
+
+
+def test_table_text_is_not_missing(spark):
+    """A table's cells and column names are text of its page: PDF lines with them are not appended again."""
+    from pagewright.operators import enrich as E
+
+    table = "array(named_struct('cells', array(named_struct('block', array(named_struct('content', 'cell one'))))))"
+    b = blocks(spark, (P, "text"), ("table", "")).selectExpr("*", f"case when type = 'table' then {table} end as rows", "case when type = 'table' then array('Column two', '') end as columns")
+    lines = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(["Cell one", "column two", "text", "absent"])], "doc_id string, page int, seq long, text string")
+    assert [r["text"] for r in E.missing_lines(lines, E.page_text(b)).collect()] == ["absent"]
+
+
 def test_zero_rebuild_and_where(spark):
     assert shown(C.rebuild_zero(blocks(spark, (P, "= 0, если мало"), (FO, "s1 грузовых судов.")))) == [(FO, "s1 = 0"), (P, "если мало грузовых судов.")]
     assert shown(C.where_reassembly(blocks(spark, (P, "где"), (FO, "Np"), (P, "— число")))) == [(P, "где Np — число")]
