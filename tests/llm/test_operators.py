@@ -261,11 +261,6 @@ def test_op10(docs, empty):
     assert O10.log_bilinear_scores(empty, steps=1).count() == 0
 
 
-def test_model_is_normalised():
-    m = O10.LogBilinear(np.random.default_rng(0).poisson(0.1, O10.SYMBOLS**3), steps=5)
-    assert np.allclose((10.0 ** m.table().astype(np.float64)).sum(1), 1, atol=1e-4)
-
-
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline as P
 
