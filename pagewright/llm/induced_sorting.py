@@ -207,29 +207,43 @@ def _types(t: np.ndarray, scratch: Scratch) -> np.ndarray:
         rising = part < after
         # An equal character takes the type of the next one that is not equal.
         known = np.flatnonzero(~same)
-        nearest = np.searchsorted(known, np.arange(b - a))
-        values = np.append(rising[known], carry)
-        s[a:b] = values[nearest]
+        lengths = np.diff(np.concatenate([[-1], known, [b - a - 1]]))
+        s[a:b] = np.repeat(np.append(rising[known], carry), lengths)
         carry = bool(s[a])
     return s
 
 
 def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefixes of the suffixes at a and b, to `depth`, eight characters at a time."""
-    out = np.zeros(len(a), dtype=np.int64)
-    left, n = np.arange(len(a)), len(t)
+    """Common prefixes of the suffixes at a and b, to `depth`, eight characters at a time; of bytes as one number."""
+    out, n = np.zeros(len(a), dtype=np.int64), len(t)
+    left = np.arange(len(a))
+    words = np.ndarray((n - 7,), dtype="<u8", buffer=t, strides=(1,)) if t.dtype == np.uint8 and n >= 8 and t.flags.c_contiguous else None
     for k in range(0, depth, 8):
         if not len(left):
             break
-        x, y = (p[left].astype(np.int64)[:, None] + np.arange(k, k + 8) for p in (a, b))
-        differ = t[np.minimum(x, n - 1)] != t[np.minimum(y, n - 1)]
-        differ |= (x >= n) | (y >= n)
-        first = np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
+        x, y = a[left] + k, b[left] + k
+        if words is not None:
+            whole = np.maximum(x, y) < n - 7
+            differ = words[np.where(whole, x, 0)] ^ words[np.where(whole, y, 0)]
+            lowest = (differ & (~differ + np.uint64(1))).astype(np.float64)  # a power of two
+            first = np.where(differ != 0, np.frexp(lowest)[1] - 1 >> 3, 8)
+            if not whole.all():
+                first[~whole] = _eight(t, x[~whole], y[~whole])
+        else:
+            first = _eight(t, x, y)
         out[left] = k + first
         left = left[first == 8]
     return np.minimum(out, depth)
 
 
+def _eight(t: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    n, step = len(t), np.arange(8)
+    x, y = x.astype(np.int64)[:, None] + step, y.astype(np.int64)[:, None] + step
+    differ = t[np.minimum(x, n - 1)] != t[np.minimum(y, n - 1)]
+    differ |= (x >= n) | (y >= n)
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
+
+
 def _induce(t: np.ndarray, s: np.ndarray, seeds: np.ndarray, common: np.ndarray, depth: int, scratch: Scratch, carry: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """All suffixes in order, and their common prefixes with the one before, given the left-most S ones in order with theirs. Without
     `carry` the order alone."""
@@ -345,10 +359,12 @@ def suffix_order(text: np.ndarray, depth: int, memory: int = MEMORY, told: dict
             out = _induce(t, s, left, np.zeros(1, common_kind), depth, scratch)
         else:
             order, _ = _induce(t, s, left, np.zeros(len(left), common_kind), depth, scratch, carry=False)
-            is_left = np.zeros(n, dtype=bool)
-            is_left[left] = True
-            sorted_left = order[is_left[order]]
-            names = _names(t, left, np.searchsorted(left, sorted_left))
+            number = np.full(n, -1, dtype=kind)
+            number[left] = np.arange(len(left))
+            rank = number[order]
+            rank = rank[rank >= 0]
+            sorted_left = left[rank]
+            names = _names(t, left, rank)
             distinct = int(names.max())
             if distinct < len(left):
                 # A substring covers two characters at least, besides the one that it shares with the next.

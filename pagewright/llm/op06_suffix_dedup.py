@@ -2,8 +2,8 @@
 
 A byte goes when a string of LENGTH bytes that covers it also starts in a document with a smaller id. The corpus is stored in blocks of
 whole documents. Winnowing marks in every string of LENGTH bytes a gram by its hash alone, so that equal strings have equal marked
-grams at the same place; marks found in one document only can't be in a repeated string. The others' surroundings (all strings that
-hold the mark) are dealt to ranges by the mark's hash, so that equal strings meet, and stream into files of the worker's scratch
+grams at the same place; marks found in one document only can't be in a repeated string. The others' surroundings (all strings whose
+mark it is) are dealt to ranges by the mark's hash, so that equal strings meet, and stream into files of the worker's scratch
 folder. A range's distinct surroundings are sorted in shards: all their suffixes, with their common prefixes, by induced sorting with
 disk-backed queues (`induced_sorting`). Neighbours whose common prefix is LENGTH are one string, of which the least document id is
 found, and the blocks get back which of their strings to remove.
@@ -90,33 +90,43 @@ class Block:
         self.end = np.cumsum(self.sizes)
         self.start = self.end - self.sizes
 
-    def marks(self, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(position, document, hash) of marked grams, in order, without the documents in `skip`."""
+    def marks(self, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(position, document, hash, own) of marked grams, in order, without the documents in `skip`. own: numbers of the first and last of
+        the STRINGS that hold the mark, of those in its document in which no other gram is less, the last of equal ones counting."""
         d = self.data
         n = len(d) - GRAM + 1
         if n <= 0:
             z = np.zeros(0, dtype=np.int64)
-            return z, z, z.astype(K.U64)
+            return z, z, z.astype(K.U64), np.zeros((0, 2), dtype=np.int64)
         h = K.gram_hashes(d, GRAM)
         for e in self.end[self.end < len(d)].tolist():
             h[max(e - GRAM + 1, 0) : e] = _MAX  # grams across a border
         low = _sliding(h, STRINGS, np.minimum, _MAX)  # least of the window that begins here
         high = _sliding(low[::-1], STRINGS, np.maximum, np.uint64(0))[::-1]  # greatest of the windows that hold this gram
         at = np.flatnonzero((high == h) & (h != _MAX))
+        h = h[at]
         doc = np.searchsorted(self.end, at, "right")
-        keep = ~skip[doc] & (self.sizes[doc] >= LENGTH)
-        return at[keep], doc[keep], h[at[keep]]
-
-    def surroundings(self, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The AROUND bytes around each mark, and for each the first and last of the STRINGS that lie in its document."""
+        first = at - (LENGTH - GRAM)
+        begin, end = np.maximum(self.start[doc] - first, 0), np.minimum(self.end[doc] - LENGTH - first, STRINGS - 1)
+        for k in range(1, STRINGS):  # marks so near that one string may hold both
+            near = at[k:] - at[:-k] < STRINGS
+            if not near.any():
+                break
+            right = near & (h[k:] <= h[:-k])
+            end[:-k][right] = np.minimum(end[:-k], at[k:] - STRINGS - first[:-k])[right]
+            left = near & (h[:-k] < h[k:])
+            begin[k:][left] = np.maximum(begin[k:], at[:-k] + 1 - first[k:])[left]
+        keep = ~skip[doc] & (self.sizes[doc] >= LENGTH) & (begin <= end)
+        return at[keep], doc[keep], h[keep], np.stack([begin, end], axis=1)[keep]
+
+    def surroundings(self, at: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The AROUND bytes around each mark, those alone that are in a string of its own."""
         first = at - (LENGTH - GRAM)
         padded = np.concatenate([np.zeros(LENGTH, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
         rows = np.lib.stride_tricks.sliding_window_view(padded, AROUND)[first + LENGTH].copy()
-        begin = np.maximum(self.start[doc] - first, 0)
-        end = np.minimum(self.end[doc] - LENGTH - first, STRINGS - 1)
         place = np.arange(AROUND)
-        rows[(place < begin[:, None]) | (place >= (self.end[doc] - first)[:, None])] = 0
-        return rows, np.stack([begin, end], axis=1)
+        rows[(place < own[:, :1]) | (place >= own[:, 1:] + LENGTH)] = 0
+        return rows
 
 
 def _sliding(h: np.ndarray, w: int, take, filler) -> np.ndarray:
@@ -146,7 +156,7 @@ def row_names(rows: np.ndarray, valid: np.ndarray) -> np.ndarray:
 
 def _split(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts keys into n equal hash ranges, and where each range begins."""
-    bucket = ((keys >> np.uint64(32)).astype(np.int64) * n) >> 32
+    bucket = ((K.mix(keys) >> np.uint64(32)).astype(np.int64) * n) >> 32  # marks are least hashes, and not even themselves
     order = np.argsort(bucket, kind="stable")
     return order, np.searchsorted(bucket[order], np.arange(n + 1))
 
@@ -184,7 +194,7 @@ def _shared_marks(blocks: DataFrame, buckets: int) -> DataFrame:
         for b in batches:
             for r in rows_of(b):
                 k = Block(r["ids"], r["sizes"], r["text"])
-                _, doc, h = k.marks(_skip(len(k.ids), r["copies"]))
+                _, doc, h, _ = k.marks(_skip(len(k.ids), r["copies"]))
                 hashes, more = _distinct_marks(h, doc)
                 order, cut = _split(hashes, buckets)
                 rows = [(q, r["block"], hashes[order[x:y]].tobytes(), more[order[x:y]].tobytes()) for q, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
@@ -219,10 +229,10 @@ def _answers(rows, buckets: int, name: str) -> dict[int, bytes]:
 
 
 def _candidates(r: dict, buckets: int):
-    """Of a block and its shared marks: the block, and its distinct surroundings (rows, valid strings, hash, least id) with the
-    marks' positions, documents and surroundings' numbers."""
+    """Of a block and its shared marks: the block, its marks' positions, own strings, documents and surroundings' numbers, and its
+    distinct surroundings (rows, own strings, hash, least id)."""
     k = Block(r["ids"], r["sizes"], r["text"])
-    at, doc, h = k.marks(_skip(len(k.ids), r["copies"]))
+    at, doc, h, own = k.marks(_skip(len(k.ids), r["copies"]))
     hashes, _ = _distinct_marks(h, doc)
     order, cut = _split(hashes, buckets)
     shared = np.zeros(len(hashes), dtype=bool)
@@ -231,26 +241,32 @@ def _candidates(r: dict, buckets: int):
         if y > x and q in got:
             shared[order[x:y]] = np.unpackbits(np.frombuffer(got[q], np.uint8), count=y - x).astype(bool)
     keep = shared[np.searchsorted(hashes, h)] if len(h) else np.zeros(0, dtype=bool)
-    at, doc, h = at[keep], doc[keep], h[keep]
-    rows, valid = k.surroundings(at, doc) if len(at) else (np.zeros((0, AROUND), np.uint8), np.zeros((0, 2), np.int64))
-    name = row_names(rows, valid)
-    _, first, number = np.unique(name, return_index=True, return_inverse=True)
+    at, doc, h, own = at[keep], doc[keep], h[keep], own[keep]
+    rows = k.surroundings(at, own) if len(at) else np.zeros((0, AROUND), np.uint8)
+    _, first, number = np.unique(row_names(rows, own), return_index=True, return_inverse=True)
     least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, number, k.ids[doc])
-    return k, at, doc, number, rows[first], valid[first], h[first], least
+    return k, at, own, doc, number, rows[first], own[first], h[first], least
 
 
 def sort_shard(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, told: dict | None = None) -> np.ndarray:
-    """For each surrounding and each of its strings: the least id that has the string; of strings outside of the document, the largest
+    """For each surrounding and each of its strings: the least id that has the string; of strings that aren't its own, the largest
     number. A row of STRINGS numbers for each surrounding."""
     n = len(rows)
     text = np.full((n, AROUND + 1), 1, dtype=np.uint8)
     text[:, :AROUND] = rows
-    np.maximum(text, 1, out=text)  # what lies outside of a document is like the border of a surrounding
-    order, common = suffix_order(np.append(text.ravel(), np.uint8(0)), LENGTH, SORT_MEMORY, told)
+    text[text == 0] = 255  # no byte of UTF-8; 0 ends the whole text alone
+    place = np.arange(AROUND + 1)
+    held = (place >= valid[:, :1]) & (place < valid[:, 1:] + LENGTH)
+    held[:, AROUND] = True
+    end = np.cumsum(held.sum(axis=1))
+    order, common = suffix_order(np.append(text[held], np.uint8(0)), LENGTH, SORT_MEMORY, told)
     group = np.cumsum(common < LENGTH)  # suffixes that agree in LENGTH bytes
-    owner, place = np.divmod(order, np.int32(AROUND + 1))
-    use = (place < STRINGS) & (place >= valid[np.minimum(owner, n - 1), 0]) & (place <= valid[np.minimum(owner, n - 1), 1]) & (owner < n)
+    owner = np.repeat(np.arange(n + 1), np.diff(np.concatenate([[0], end, [end[-1] + 1]])))[order]
+    some = owner < n
+    order, owner, group = order[some], owner[some], group[some]
+    place = order - np.concatenate([[0], end])[owner] + valid[owner, 0]
+    use = place <= valid[owner, 1]
     owner, place, group = owner[use], place[use], group[use]
     out = np.full((n, STRINGS), np.iinfo(np.int64).max)
     if len(owner):
@@ -295,7 +311,7 @@ def _string_masks(blocks: DataFrame, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in rows_of(b):
-                _, _, _, _, rows, valid, h, least = _candidates(r, buckets)
+                _, _, _, _, _, rows, valid, h, least = _candidates(r, buckets)
                 order, cut = _split(h, buckets)
                 out = []
                 for q, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
@@ -338,17 +354,15 @@ def _string_masks(blocks: DataFrame, buckets: int) -> DataFrame:
 
 def _removed(r: dict, buckets: int) -> tuple[Block, np.ndarray]:
     """The block and whether each byte goes."""
-    k, at, doc, number, rows, _, h, least = _candidates(r, buckets)
+    k, at, own, doc, number, _, _, h, least = _candidates(r, buckets)
     order, cut = _split(h, buckets)
     masks = np.zeros(len(h), dtype=np.uint32)
     got = _answers(r["masks"], buckets, "masks")
     for q, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
         if y > x:
             masks[order[x:y]] = np.frombuffer(got[q], np.uint32)
-    begin = np.maximum(k.start[doc] - (at - (LENGTH - GRAM)), 0)
-    end = np.minimum(k.end[doc] - LENGTH - (at - (LENGTH - GRAM)), STRINGS - 1)
     place = np.arange(STRINGS)
-    inside = (place >= begin[:, None]) & (place <= end[:, None])
+    inside = (place >= own[:, :1]) & (place <= own[:, 1:])
     bits = (masks[number][:, None] >> place.astype(np.uint32)) & np.uint32(1) != 0
     bits |= (k.ids[doc] > least[number])[:, None]  # the same strings with a smaller id are in this block
     i, j = np.nonzero(bits & inside)

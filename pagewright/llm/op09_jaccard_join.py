@@ -51,6 +51,8 @@ BAND = 1.03
 SKETCH_BINS, SKETCH_SHARE = 64, 0.5
 #: Rows that Python gets at once: sets of long documents have some MB.
 BATCH_ROWS = 512
+#: Pairs of a document that are compared before the others of it are looked at again.
+FIRST = 8
 #: Most rounds of comparison with centres; they end when a round finds no link.
 STAR_ROUNDS = 2
 
@@ -257,21 +259,26 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(key, label) for every end of `links` (a, b): label is the least key of its connected component.
+    """(key, label) for every end of `links` (a, b): label is the same key for all of a connected component.
 
-    Every key takes the least label among itself and its neighbours, then its label's label, until nothing changes; chains halve each time.
+    In each round every key goes to the one of itself and its neighbours with the least hash, another one each round, and links are
+    drawn between the keys that theirs went to, each once. So keys and links get fewer by a share of them each round, long chains and
+    dense groups alike, until no links are left.
     """
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), name + "-edges")
-    labels = written(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("key"), F.least("a", "m").alias("label")), name)
+    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), name + "-edges")
+    labels, round_ = None, 0
     while True:
-        near = edges.join(labels.select(F.col("key").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("m")).select(F.col("a").alias("key"), "m")
-        new = labels.join(near, "key").select("key", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        jump = new.select(F.col("key").alias("label"), F.col("label").alias("further"))
-        new = written(new.join(jump, "label", "left").select("key", "old", F.least("label", F.coalesce("further", "label")).alias("label")), name)
-        changed = new.filter("old <> label").limit(1).count()
-        labels = new.select("key", "label")
-        if not changed:
+        least = F.least(F.min(F.struct(F.xxhash64(F.lit(round_), "b").alias("h"), F.col("b").alias("key"))), F.struct(F.xxhash64(F.lit(round_), "a").alias("h"), F.col("a").alias("key")))
+        steps = written(edges.groupBy("a").agg(least["key"].alias("to")), name + "-steps")
+        if labels is None:
+            labels = steps.select(F.col("a").alias("key"), F.col("to").alias("label"))
+        else:
+            labels = written(labels.join(steps.select(F.col("a").alias("label"), "to"), "label", "left").select("key", F.coalesce("to", "label").alias("label")), name)
+        both = edges.join(steps, "a").select("b", F.col("to").alias("from")).join(steps.select(F.col("a").alias("b"), "to"), "b").select(F.col("from").alias("a"), F.col("to").alias("b"))
+        edges = written(both.filter("a <> b").distinct(), name + "-edges")
+        if edges.isEmpty():
             return labels
+        round_ += 1
 
 
 def _prefix(n: Column) -> Column:
@@ -365,7 +372,14 @@ def link_classes(docs: DataFrame, classes: DataFrame, text_column: str = "text")
     both = F.size(F.array_intersect("places", "m_places"))
     rest = F.least(n - _before(F.col("places"), F.col("m_end")), m - _before(F.col("m_places"), F.col("end")))
     passes = (F.col("m_rank") > F.col("rank")) & (F.col("m_rank.label") != F.col("rank.label")) & _near_size(n, m) & (both > 0) & linked(both + rest, n, m)
-    pairs = written(opened.join(inside, ["g", "band"]).filter(passes).select("a", "b"), "jaccard-opened")
+    pairs = opened.join(inside, ["g", "band"]).filter(passes).select("a", "b", ((both + rest) / (n + m)).alias("most"))
+    pairs = written(pairs.withColumn("turn", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("most"), F.xxhash64("b")))), "jaccard-opened")
+    # A document's likeliest pairs come first; of the others those whose ends these have not put into one component already.
+    links = written(links.unionByName(_verified(pairs.filter(F.col("turn") <= FIRST).select("a", "b"), sets)), "jaccard-links")
+    labels = components(links)
+    label = lambda end: labels.select(F.col("key").alias(end), F.col("label").alias(f"{end}_label"))
+    pairs = pairs.filter(F.col("turn") > FIRST).join(label("a"), "a", "left").join(label("b"), "b", "left")
+    pairs = pairs.filter(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
     return components(written(links.unionByName(_verified(pairs, sets)), "jaccard-links"))
 
 

@@ -39,7 +39,7 @@ def test_ranges_equal_brute_force(spark, monkeypatch):
     for name, value in (("SHARD_BYTES", 500), ("SORT_MEMORY", 256), ("BLOCK_BYTES", 700), ("RANGE_BYTES", 2000)):
         monkeypatch.setattr(O6, name, value)
     rng = random.Random(2)
-    word = lambda: rng.choice(["ab", "abc", "été", "x", "yz", "1", "the", "of "])
+    word = lambda: rng.choice(["ab", "abc", "été", "x", "yz", "1", "the", "of ", "\x00\x01", "\x01"])
     passage = [" ".join(word() for _ in range(rng.choice((12, 20, 60)))) for _ in range(4)]
     rows = []
     for i in range(60):
