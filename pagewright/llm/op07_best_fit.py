@@ -4,7 +4,8 @@ Sequences may have one of several lengths. Pieces, longest first, go to the open
 room, a bin is opened: for every permitted size that holds the piece, the pieces still to come are laid into it greedily, and the
 size with the least cost for each token so placed is taken. At the end each bin shrinks to the least permitted size that holds its contents.
 
-Documents are dealt by hash into shards of some thousand pieces, each packed by itself; a shard wastes a few bins at most.
+Pieces are dealt by a hash of their row, not of its id, into shards of some thousand pieces, each packed by itself, so that however
+many rows have one id or none, shards are of like size; a shard wastes a few bins at most.
 """
 
 from __future__ import annotations
@@ -109,15 +110,16 @@ def best_fit(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, length: Co
     """
     top = max(capacities)
     size = F.coalesce(length, F.lit(0)).cast("long") if length is not None else n_words(F.col(text_column).cast("string")) + 1
-    rows = written(docs.select(F.col(id_column).cast("long").alias("doc_id"), size.alias("size")).filter("size > 0"), "pack-rows")
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), size.alias("size"), F.monotonically_increasing_id().alias("row")).filter("size > 0")
+    rows = written(rows, "pack-rows")
     total = rows.agg(F.sum(F.ceil(F.col("size") / top))).first()[0] or 0
     shards = max(1, -(-int(total) // SHARD_ROWS))
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / top))))
-    pieces = pieces.select("doc_id", "piece", (F.col("piece") * top).alias("piece_start"), F.least(F.lit(top), F.col("size") - F.col("piece") * top).cast("long").alias("n_tokens"))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    pieces = pieces.select("doc_id", "row", "piece", (F.col("piece") * top).alias("piece_start"), F.least(F.lit(top), F.col("size") - F.col("piece") * top).cast("long").alias("n_tokens"))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(shards)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+        pdf = pdf.sort_values(["n_tokens", "row", "piece"], ascending=[False, True, True], kind="stable")
         bins, offset, final = pack(pdf["n_tokens"].to_numpy(), capacities)
         used = np.bincount(bins, pdf["n_tokens"].to_numpy(), len(final)).astype(np.int64)
         out = pdf[["doc_id", "piece", "piece_start", "n_tokens"]].copy()

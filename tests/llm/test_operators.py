@@ -261,12 +261,3 @@ def test_op10(docs, empty):
     assert O10.log_bilinear_scores(empty, steps=1).count() == 0
 
 
-def test_pipeline_stages(spark, docs):
-    import corpus_pipeline as P
-
-    assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "jaccard_join", "mixing", "packing"]
-    d = docs
-    for name, f in P.STAGES[2:4]:
-        d = f(spark, d, "")
-        assert d.columns == docs.columns, name
-    assert F.lit(1) is not None
