@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -17,6 +18,8 @@ _own: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where that is unset (tests), one of our own for this application."""
     root = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not root:
         app = spark.sparkContext.applicationId
         if app not in _own:
