@@ -230,6 +230,52 @@ def formula_images(candidates: DataFrame, blocks: DataFrame, page_aware: bool =
     return left.withColumn("n", F.row_number().over(w)).withColumn("file", F.format_string("formula_p%d_%d.png", "page", "n"))
 
 
+def write_images(files: DataFrame, folder: str) -> DataFrame:
+    """K6: the bytes of named images (doc_id, file, bytes) as `folder`/doc_id/file; returns doc_id, file, size for each one written.
+
+    Files are put under another name and moved, so that a task that runs twice leaves one whole file.
+    """
+    import uuid
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs
+
+        for b in batches:
+            for doc, name, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                fs, at = pyarrow.fs.FileSystem.from_uri(f"{folder}/{doc}")
+                fs.create_dir(at, recursive=True)
+                tmp = f"{at}/.{uuid.uuid4().hex}"
+                with fs.open_output_stream(tmp) as out:
+                    out.write(data)
+                fs.move(tmp, f"{at}/{name}")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) for x in b.column(2).to_pylist()], pa.int64())], names=["doc_id", "file", "size"])
+
+    good = files.filter("bytes IS NOT NULL").select(F.col("doc_id").cast("string").alias("doc_id"), "file", "bytes")
+    return good.mapInArrow(run, "doc_id string, file string, size long")
+
+
+def new_entries(before: DataFrame, after: DataFrame, priority: int = 1) -> DataFrame:
+    """Index entries of the blocks that enrichment appended, by their text."""
+    new = after.join(before.select("doc_id", "seq"), ["doc_id", "seq"], "left_anti").filter(G.known(F.col("bbox"))).withColumn("norm", X.norm_pdf(F.coalesce("content", F.lit(""))))
+    return new.filter(F.length("norm") >= LEAST_KEY).groupBy("doc_id", "page", "norm").agg(F.max_by("bbox", "seq").alias("bbox"), F.lit(priority).alias("priority"))
+
+
+def image_candidates(images: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Images that may be formulas, with their page's height."""
+    return images.join(sizes.select("doc_id", "page", "height"), ["doc_id", "page"]).filter(G.image_candidate(F.col("bbox"), F.col("height"))).drop("height")
+
+
+def inject_formulas(blocks: DataFrame, files: DataFrame) -> DataFrame:
+    """Formula images become formula blocks at the end of their document."""
+    offset = blocks.groupBy("doc_id").agg((F.max("seq") + 1).alias("offset"))
+    w = Window.partitionBy("doc_id").orderBy("page", "n")
+    new = files.join(offset, "doc_id", "left").select("doc_id", "page", (F.coalesce("offset", F.lit(0)) + F.row_number().over(w) - 1).alias("seq"), F.lit("formula").alias("type"), F.lit("").alias("content"), F.col("file").alias("image_key"), F.col("file").alias("temp_path"), "bbox")
+    return blocks.unionByName(new, allowMissingColumns=True)
+
+
 def collect_undecoded(layout: DataFrame) -> DataFrame:
     """Boxes of formula items without text, by page. layout: doc_id, ord, label, text, page, bbox."""
     empty = layout.filter("label = 'formula' AND coalesce(trim(text), '') = ''")

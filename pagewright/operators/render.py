@@ -110,8 +110,34 @@ def page_dump(parts: dict[str, DataFrame]) -> DataFrame:
     return u.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda x: x["t"]), "\n").alias("dump"))
 
 
+def _table_lines(table: DataFrame, part: int, key: str, title: str) -> DataFrame:
+    """A heading and a Markdown table of counts and scores by `key`, as numbered lines."""
+    cells = [F.coalesce(F.col(key).cast("string"), F.lit("")), *[F.col(c).cast("string") for c in ("golden", "result", "matched", "precision", "recall", "f1")]]
+    w = Window.partitionBy(F.lit(0)).orderBy(key)
+    rows = table.withColumn("n", (F.row_number().over(w) + 1).cast("long")).select(F.lit(part).alias("part"), "n", F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    spark = table.sparkSession
+    head = spark.createDataFrame([(part, 0, f"## {title}"), (part, 1, f"| {key} | golden | result | matched | precision | recall | f1 |")], "part int, n long, line string")
+    return head.unionByName(rows)
+
+
+def _first_lines(blocks: DataFrame, part: int, title: str) -> DataFrame:
+    """A heading, the first FIRST_ROWS blocks, and how many more there are."""
+    spark = blocks.sparkSession
+    w = Window.partitionBy(F.lit(0)).orderBy("doc_id", "page", "seq")
+    first = blocks.orderBy("doc_id", "page", "seq").limit(FIRST_ROWS).withColumn("n", F.row_number().over(w).cast("long"))
+    listed = first.select(F.lit(part).alias("part"), "n", F.concat(F.lit("- p"), F.col("page").cast("string"), F.lit(" "), "type", F.lit(": "), F.substring("content", 1, SHORT)).alias("line"))
+    more = blocks.agg(F.count("*").alias("c")).filter(F.col("c") > FIRST_ROWS).select(F.lit(part).alias("part"), F.lit(FIRST_ROWS + 1).cast("long").alias("n"), F.concat(F.lit("… and "), (F.col("c") - FIRST_ROWS).cast("string"), F.lit(" more")).alias("line"))
+    return spark.createDataFrame([(part, 0, f"## {title}")], "part int, n long, line string").unionByName(listed).unionByName(more)
+
+
+def full_report(summary: DataFrame, by_type: DataFrame, by_page: DataFrame, missed: DataFrame, extra: DataFrame) -> DataFrame:
+    """(part, n, line) of the whole Markdown report: summary, tables by type and by page, first missed and first extra blocks."""
+    out = _table_lines(summary, 1, "doc_id", "Summary").unionByName(_table_lines(by_type, 2, "type", "By type")).unionByName(_table_lines(by_page, 3, "page", "By page"))
+    return out.unionByName(_first_lines(missed, 4, "Missed")).unionByName(_first_lines(extra, 5, "Extra"))
+
+
 def markdown_report(by_type: DataFrame, missed: DataFrame) -> DataFrame:
-    """Lines of a Markdown report: a table by type, then the first missed blocks, and how many more there are."""
+    """R8, the short one: lines of a table by type, then the first missed blocks, and how many more there are."""
     row = F.concat(F.lit("| "), "type", F.lit(" | "), F.col("golden").cast("string"), F.lit(" | "), F.col("result").cast("string"), F.lit(" | "), F.col("matched").cast("string"), F.lit(" |"))
     w = Window.partitionBy(F.lit(0)).orderBy("doc_id", "page", "seq")
     first = missed.orderBy("doc_id", "page", "seq").limit(FIRST_ROWS).withColumn("n", F.row_number().over(w).cast("long"))

@@ -29,11 +29,12 @@ def page_sizes(pages: DataFrame, meta: DataFrame | None) -> DataFrame:
     return base.join(meta, ["doc_id", "page"], "left").withColumns({"width": F.coalesce("width", F.lit(DEFAULT_PAGE[0])), "height": F.coalesce("height", F.lit(DEFAULT_PAGE[1]))})
 
 
-def parse(pages: DataFrame, spans: DataFrame | None = None, images: DataFrame | None = None, layout_texts: DataFrame | None = None, layout_tables: DataFrame | None = None, undecoded: DataFrame | None = None, meta: DataFrame | None = None, settings: Settings = Settings(), root: tuple[str, str | None] = ("div", "page")) -> Parsed:
+def parse(pages: DataFrame, spans: DataFrame | None = None, images: DataFrame | None = None, layout_texts: DataFrame | None = None, layout_tables: DataFrame | None = None, undecoded: DataFrame | None = None, meta: DataFrame | None = None, settings: Settings = Settings(), root: tuple[str, str | None] = ("div", "page"), page_aware: bool = False, image_folder: str | None = None) -> Parsed:
     """From page HTML (doc_id, page, html) and, where there are any, PDF spans, images and the layout document's boxes.
 
     The order: substitute formulas, parse, rewrite, enrich, title levels, boxes from the PDF and then the layout, images, cleanup,
-    quality. Formula images need boxes first.
+    quality. Formula images need boxes first; `page_aware` compares them with the boxes of their own page alone. Image files are
+    written to `image_folder`, if there is one, by document.
     """
     sizes = page_sizes(pages, meta)
     lines = enrich.span_lines(spans) if spans is not None else None
@@ -47,9 +48,9 @@ def parse(pages: DataFrame, spans: DataFrame | None = None, images: DataFrame |
         blocks = stored(blocks, "blocks-layout")
     if lines is not None:
         lines = stored(lines, "pdf-lines")
-        blocks = stored(enrich.enriched(blocks, lines), "blocks-enriched")
+        before, blocks = blocks, stored(enrich.enriched(blocks, lines), "blocks-enriched")
+        index = enrich.overlay(enrich.bbox_index(lines), enrich.new_entries(before, blocks))
         blocks = enrich.title_levels(blocks, lines, settings.publisher_logo)
-        index = enrich.bbox_index(lines)
         blocks = enrich.restore_boxes(blocks, index)
     if layout_texts is not None:
         blocks = enrich.layout_boxes(blocks, layout_texts, sizes)
@@ -57,7 +58,12 @@ def parse(pages: DataFrame, spans: DataFrame | None = None, images: DataFrame |
         blocks = enrich.bind_tables(blocks, layout_tables)
     if images is not None:
         files = enrich.name_images(images)
-        blocks = enrich.inject_images(enrich.bind_images(blocks, files), files)
+        blocks = stored(enrich.inject_images(enrich.bind_images(blocks, files), files), "blocks-images")
+        formulas = enrich.formula_images(enrich.image_candidates(images.filter("bytes IS NOT NULL"), sizes), blocks, page_aware)
+        blocks = enrich.inject_formulas(blocks, formulas)
+        if image_folder is not None:
+            named = files.select("doc_id", "file", "bytes").unionByName(formulas.select("doc_id", "file", "bytes"))
+            stored(enrich.write_images(named, image_folder), "images")
     blocks = stored(cleanup.cleanup(stored(blocks, "blocks-bound"), settings, store=stored), "blocks")
     scored = quality.page_quality(blocks)
     return Parsed(blocks, quality.page_status(scored), quality.document_quality(scored))

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.schema import PDF_IMAGE, PDF_SPAN
+from pagewright.functions import geometry as G
+from pagewright.operators.enrich import collect_undecoded
+from pagewright.schema import DEFAULT_PAGE, PDF_IMAGE, PDF_SPAN
+from pagewright.storage import stored
 
 _BOX = "struct<l:double,t:double,r:double,b:double,coord_origin:string>"
 METADATA = "source struct<file_name:string,file_hash_sha256:string,page_count:int>, pages array<struct<page:int,width:double,height:double>>, formula_bboxes map<string,array<array<double>>>, generated_at string, html_files array<string>"
@@ -47,6 +50,47 @@ def read_layout(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], LAYOUT)
 
 
+def layout_texts(layout: DataFrame) -> DataFrame:
+    """S3: texts of layout documents (doc_id, texts, ...): doc_id, page, ord, text, bbox from the bottom left."""
+    t = layout.select("doc_id", F.posexplode("texts").alias("ord", "t")).select("doc_id", "ord", "t.text", F.explode("t.prov").alias("p"))
+    b = F.col("p.bbox")
+    return t.select("doc_id", F.col("p.page_no").alias("page"), F.col("ord").cast("long").alias("ord"), "text", F.array(b["l"], b["t"], b["r"], b["b"]).alias("bbox"))
+
+
+def layout_tables(layout: DataFrame) -> DataFrame:
+    """S3: tables of layout documents: doc_id, page, ord, bbox from the top; heights are those of the document's pages."""
+    t = layout.select("doc_id", "pages", F.posexplode("tables").alias("ord", "t")).select("doc_id", "pages", "ord", F.explode("t.prov").alias("p"))
+    b, height = F.col("p.bbox"), F.element_at("pages", F.col("p.page_no").cast("string"))["size"]["height"]
+    height = F.coalesce(height, F.lit(DEFAULT_PAGE[1]))
+    return t.select("doc_id", F.col("p.page_no").alias("page"), F.col("ord").cast("long").alias("ord"), G.from_bottom(F.array(b["l"], b["t"], b["r"], b["b"]), height).alias("bbox"))
+
+
+def layout_undecoded(layout: DataFrame) -> DataFrame:
+    """Boxes of formulas without text, numbered within their page."""
+    t = layout.select("doc_id", F.posexplode("texts").alias("ord", "t")).select("doc_id", F.col("ord").cast("long").alias("ord"), "t.label", "t.text", F.explode("t.prov").alias("p"))
+    b = F.col("p.bbox")
+    boxes = collect_undecoded(t.select("doc_id", "ord", "label", "text", F.col("p.page_no").alias("page"), F.array(b["l"], b["t"], b["r"], b["b"]).alias("bbox")))
+    return boxes.select("doc_id", "page", F.posexplode("boxes").alias("ord", "bbox"))
+
+
+def kept_layout(converted: DataFrame) -> DataFrame:
+    """The service's answers, stored, so that no file is sent twice."""
+    return stored(converted, "layout")
+
+
+def layout_metadata(converted: DataFrame, hashes: DataFrame) -> DataFrame:
+    """K5: (doc_id, metadata) as JSON in the form that `read_metadata` reads: file name, hash, page sizes, boxes of undecoded formulas."""
+    parsed = converted.select("doc_id", F.from_json("layout", LAYOUT).alias("l")).select("doc_id", "l.*")
+    sizes = F.array_sort(F.transform(F.map_entries("pages"), lambda e: F.struct(e["key"].cast("int").alias("page"), F.round(e["value"]["size"]["width"], 1).alias("width"), F.round(e["value"]["size"]["height"], 1).alias("height"))))
+    boxes = layout_undecoded(parsed).groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "bbox"))), lambda x: x["bbox"]).alias("boxes"))
+    boxes = boxes.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("page").cast("string"), "boxes"))).alias("formula_bboxes"))
+    d = parsed.select("doc_id", sizes.alias("sizes")).join(hashes, "doc_id").join(boxes, "doc_id", "left")
+    source = F.struct(F.concat("doc_id", F.lit(".pdf")).alias("file_name"), F.col("sha256").alias("file_hash_sha256"), F.size("sizes").alias("page_count"))
+    names = F.transform("sizes", lambda p: F.format_string("page_%04d.html", p["page"]))
+    none = F.create_map().cast("map<string,array<array<double>>>")
+    return d.select("doc_id", F.to_json(F.struct(source.alias("source"), F.col("sizes").alias("pages"), F.coalesce("formula_bboxes", none).alias("formula_bboxes"), names.alias("html_files"))).alias("metadata"))
+
+
 def blocks_of(text) -> Column:
     """The block list of a result or golden JSON in any of its five shapes; an unknown shape has none."""
     paths = ("content.document.block", "content.document.kids", "content.block", "block", "kids")
