@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.plans import block_queries, compare_queries, enrich_queries, text_queries
+from pagewright.plans import block_queries, compare_queries, enrich_queries, part_queries, text_queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _m in (text_queries, block_queries, enrich_queries, compare_queries):
+for _m in (text_queries, block_queries, enrich_queries, compare_queries, part_queries):
     QUERIES |= _m.QUERIES
     SQL |= _m.SQL
