@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagewright.functions import text as X
 from pagewright.operators import cleanup as C
 from pagewright.operators import enrich as E
 from pagewright.operators import golden as D
 from pagewright.operators import render as V
+from pagewright.operators import rewrite as R
 from pagewright.plans.inputs import BOXES_SQL, LINES_SQL, boxes, lines
 from pagewright.plans.registry import registry
 from pagewright.sources import html as H
@@ -111,3 +113,41 @@ def table_html(spark, sf_dir):
     rows = F.array(F.struct(F.array(block(F.col("w"), F.lit("<1>")), block(F.col("seq").cast("string"))).alias("cells")), F.struct(F.array(block(F.lit("z"))).alias("cells")))
     columns = F.when(F.col("seq") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("a&b"), F.lit(None).cast("string")))
     return _words(spark, sf_dir).select("doc_id", "seq", V.table_html(columns, rows).alias("html"))
+
+
+@query(f"WITH {_WORDS_SQL} SELECT doc_id, seq, 'зато · (м3 - ' || lower(w) || '), 5' AS norm FROM w")
+def norm_compare_steps(spark, sf_dir):
+    """every step of the normal form has work."""
+    text = F.concat(F.lit("з а т о   ( м 3 — "), "w", F.lit(" ) , 5"))
+    return _words(spark, sf_dir).select("doc_id", "seq", X.norm_compare(text).alias("norm"))
+
+
+_JOINED = "'Общие' || CASE WHEN regexp_full_match(w, '[A-Za-z]') THEN '' ELSE ' ' END || w"
+
+
+@query(f"WITH {_WORDS_SQL} SELECT doc_id, seq, CASE seq % 4 WHEN 0 THEN {_JOINED} WHEN 1 THEN {_JOINED} WHEN 2 THEN 'О б щ и е ' || w || chr(10) || 'b' ELSE 'О б щ и е ' || w END AS content, CASE WHEN seq % 4 = 2 THEN {_JOINED} || ';b' END AS items, CASE WHEN seq % 4 = 3 THEN {_JOINED} END AS cells FROM w")
+def join_spaced_letters(spark, sf_dir):
+    """B1: in paragraphs, headings, list items and cells, but not in what lists and tables have as content."""
+    s = F.col("seq") % 4
+    text = F.concat(F.lit("О б щ и е "), "w")
+    items = F.array(F.struct(text.alias("content")), F.struct(F.lit("b").alias("content")))
+    rows = F.array(F.struct(F.array(F.struct(F.array(F.struct(text.alias("content"))).alias("block"))).alias("cells")))
+    d = _words(spark, sf_dir).withColumns({"type": F.element_at(F.array(*map(F.lit, ("paragraph", "heading", "list", "table"))), (s + 1).cast("int")), "content": F.when(s == 2, F.concat(text, F.lit("\nb"))).otherwise(text), "items": F.when(s == 2, items), "rows": F.when(s == 3, rows)})
+    out = R.join_spaced_letters(d)
+    return out.select("doc_id", "seq", "content", F.array_join(F.transform("items", lambda i: i["content"]), ";").alias("items"), F.array_join(X.cell_texts(F.col("rows")), ";").alias("cells"))
+
+
+@query(f"""WITH {_WORDS_SQL}, l AS (SELECT doc_id, seq, lower(w) || ' line ' || seq % 6 AS norm, 10.0 + 5 * (seq % 4) AS size FROM w WHERE page = 1),
+z AS (SELECT doc_id, norm, max(size) AS size FROM l GROUP BY ALL), t AS (SELECT doc_id, max(size) AS top FROM z GROUP BY doc_id)
+SELECT w.doc_id, w.seq, w.page, CASE WHEN w.seq % 7 = 0 AND w.seq = 7 THEN 'paragraph' WHEN w.seq % 7 = 0 THEN 'heading' ELSE 'paragraph' END AS type,
+  CASE WHEN w.seq % 7 <> 0 OR w.seq = 7 THEN 0 WHEN w.page > 1 THEN 6 WHEN z.size / top >= 0.7 THEN 1 WHEN z.size / top >= 0.45 THEN 2 ELSE 3 END AS heading_level
+FROM w LEFT JOIN z ON z.doc_id = w.doc_id AND w.page = 1 AND z.norm = lower(w) || ' line ' || seq % 6 LEFT JOIN t ON t.doc_id = w.doc_id""")
+def title_page_levels(spark, sf_dir):
+    """Headings of page 1 by the size of the line with their text; the logo is a paragraph; other pages stay."""
+    s = F.col("seq")
+    text = F.concat("w", F.lit(" Line "), (s % 6).cast("string"))
+    w = _words(spark, sf_dir)
+    heading = s % 7 == 0
+    blocks = w.select("doc_id", "page", "seq", F.when(heading, F.lit("heading")).otherwise(F.lit("paragraph")).alias("type"), F.when(s == 7, F.concat(text, F.lit(" ЛОГО"))).otherwise(text).alias("content"), F.when(heading, F.lit(6)).alias("heading_level"))
+    found = w.select("doc_id", "page", "seq", text.alias("text"), (10.0 + 5 * (s % 4)).alias("size"))
+    return E.title_levels(blocks, found, "ЛОГО").select("doc_id", "seq", "page", "type", F.coalesce("heading_level", F.lit(0)).alias("heading_level"))
