@@ -123,11 +123,33 @@ def read_markup(spark: SparkSession, path: str) -> DataFrame:
     return df.select(name.alias("doc_id"), F.posexplode(F.from_json("value", MARKUP)).alias("seq", "m")).select("doc_id", F.col("seq").cast("long").alias("seq"), "m.*")
 
 
+_QUALITY_BLOCK = "struct<text:string,content:string,level:double,depth:double,bbox:array<double>>"
+_QUALITY_PAGE = f"struct<page:int,page_num:int,number:int,blocks:array<{_QUALITY_BLOCK}>>"
+_KID = "struct<`page number`:string,page_num:string,page:string,text:string,content:string,level:double,depth:double,bbox:array<double>>"
+
+
 def quality_pages(text: Column) -> Column:
-    """Pages of a quality input: a top-level list, or one under pages, document, content or data; else none."""
-    page = "array<struct<page:int,page_num:int,number:int,blocks:array<struct<text:string,content:string,level:double,depth:double,bbox:array<double>>>>>"
-    found = [F.from_json(F.get_json_object(text, f"$.{p}"), page) for p in ("pages", "document", "content", "data")]
-    return F.coalesce(F.from_json(F.when(F.trim(text).startswith("["), text), page), *found, F.array().cast(page))
+    """Pages of a quality input; none for any other shape.
+
+    Blocks under `kids` are put together by their page (`page number`, `page_num` or `page`; what is no whole number is left out);
+    pages under `pages`, `document`, `content` or `data` are a list, or an object with a page for each key; or the input is a list.
+    """
+    listed = f"array<{_QUALITY_PAGE}>"
+    kids = F.from_json(F.get_json_object(text, "$.kids"), f"array<{_KID}>")
+    whole = lambda c: c.try_cast("int")
+    number = lambda k: F.coalesce(whole(k["page number"]), whole(k["page_num"]), whole(k["page"]))
+    none = F.lit(None).cast("int")
+    block = lambda k: F.struct(*[k[c].alias(c) for c in ("text", "content", "level", "depth", "bbox")])
+    numbers = F.array_sort(F.array_distinct(F.filter(F.transform(kids, number), lambda n: n.isNotNull())))
+    grouped = F.transform(numbers, lambda n: F.struct(n.alias("page"), none.alias("page_num"), none.alias("number"), F.transform(F.filter(kids, lambda k: number(k) == n), block).alias("blocks")))
+    found = [F.when(F.size(grouped) > 0, grouped)]
+    for p in ("pages", "document", "content", "data"):
+        value = F.get_json_object(text, f"$.{p}")
+        entries = F.map_entries(F.from_json(value, f"map<string,{_QUALITY_PAGE}>"))
+        values = F.transform(F.array_sort(F.transform(entries, lambda e: F.struct(F.coalesce(whole(e["key"]), F.lit(2**31 - 1)).alias("n"), e["key"].alias("k"), e["value"].alias("v")))), lambda e: e["v"])
+        values = F.filter(values, lambda v: v["blocks"].isNotNull())
+        found += [F.when(F.ltrim(value).startswith("["), F.from_json(value, listed)), F.when(F.ltrim(value).startswith("{") & (F.size(values) > 0), values)]
+    return F.coalesce(F.from_json(F.when(F.trim(text).startswith("["), text), listed), *found, F.array().cast(listed))
 
 
 def find_blocks(blocks: DataFrame, needle: str) -> DataFrame:

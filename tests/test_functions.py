@@ -1,4 +1,3 @@
-import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -69,4 +68,8 @@ def test_ratio_bound(a, b):
 
 def test_words(spark):
     assert one(spark, X.words_of(F.col("t")), t="a bb, ccc-d (ee)") == ["bb", "ccc", "ee"]
-    assert re.match(r"\d", "1")
+
+
+def test_strip_html(spark):
+    page = "<script>x</script><p>a&nbsp;&eacute;&#1078;&#x41; &amp;lt; 1 &lt; 2</p>"
+    assert one(spark, X.strip_html(F.col("t")), t=page) == "a éжA &lt; 1 < 2"

@@ -128,3 +128,12 @@ def test_conversion_by_a_service(spark, tmp_path):
         assert "conversion of doc failed" in str(e)
     server.shutdown()
     assert files.read_layout(spark, str(tmp_path / "absent")).count() == 0
+
+
+def test_quality_inputs(spark):
+    block = {"text": "a", "level": 1.0}
+    page = {"page": 2, "blocks": [block]}
+    shapes = [[page], {"pages": [page]}, {"data": {"10": {"page": 10, "blocks": []}, "2": page}}, {"kids": [{"page number": 3, "content": "x"}, {"page_num": "1", "content": "y"}, {"page": "3", "content": "z"}, {"page": "no"}]}, {"other": 1}, {"content": "text"}]
+    df = spark.createDataFrame([(i, json.dumps(s)) for i, s in enumerate(shapes)] + [(9, "broken {")], "i int, t string")
+    got = {r["i"]: [(p["page"], [b["text"] or b["content"] for b in p["blocks"]]) for p in r["p"]] for r in df.select("i", files.quality_pages(df["t"]).alias("p")).collect()}
+    assert got[0] == got[1] == [(2, ["a"])] and got[2] == [(2, ["a"]), (10, [])] and got[3] == [(1, ["y"]), (3, ["x", "z"])] and got[4] == got[5] == got[9] == []
