@@ -40,7 +40,7 @@ SORT_MEMORY = 1 << 20
 #: Text bytes for one range of marks, about.
 RANGE_BYTES = 8 << 20
 NO_ID = -(1 << 63)
-_MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
+_MAX = np.uint32(0xFFFFFFFF)
 
 _SPOOLED = np.dtype([("id", "<i8"), ("row", np.uint8, (AROUND,)), ("valid", np.uint8, (2,))])
 _BLOCK = "block long, ids binary, sizes binary, text binary"
@@ -98,13 +98,14 @@ class Block:
         if n <= 0:
             z = np.zeros(0, dtype=np.int64)
             return z, z, z.astype(K.U64), np.zeros((0, 2), dtype=np.int64)
-        h = K.gram_hashes(d, GRAM)
+        hashes = K.gram_hashes(d, GRAM)
+        h = np.minimum((hashes >> np.uint64(32)).astype(np.uint32), _MAX - np.uint32(1))
         for e in self.end[self.end < len(d)].tolist():
             h[max(e - GRAM + 1, 0) : e] = _MAX  # grams across a border
         low = _sliding(h, STRINGS, np.minimum, _MAX)  # least of the window that begins here
-        high = _sliding(low[::-1], STRINGS, np.maximum, np.uint64(0))[::-1]  # greatest of the windows that hold this gram
+        high = _sliding(low[::-1], STRINGS, np.maximum, np.uint32(0))[::-1]  # greatest of the windows that hold this gram
         at = np.flatnonzero((high == h) & (h != _MAX))
-        h = h[at]
+        h, hashes = h[at], hashes[at]
         doc = np.searchsorted(self.end, at, "right")
         first = at - (LENGTH - GRAM)
         begin, end = np.maximum(self.start[doc] - first, 0), np.minimum(self.end[doc] - LENGTH - first, STRINGS - 1)
@@ -117,7 +118,7 @@ class Block:
             left = near & (h[:-k] < h[k:])
             begin[k:][left] = np.maximum(begin[k:], at[:-k] + 1 - first[k:])[left]
         keep = ~skip[doc] & (self.sizes[doc] >= LENGTH) & (begin <= end)
-        return at[keep], doc[keep], h[keep], np.stack([begin, end], axis=1)[keep]
+        return at[keep], doc[keep], hashes[keep], np.stack([begin, end], axis=1)[keep]
 
     def surroundings(self, at: np.ndarray, own: np.ndarray) -> np.ndarray:
         """The AROUND bytes around each mark, those alone that are in a string of its own."""
@@ -366,10 +367,9 @@ def _removed(r: dict, buckets: int) -> tuple[Block, np.ndarray]:
     bits = (masks[number][:, None] >> place.astype(np.uint32)) & np.uint32(1) != 0
     bits |= (k.ids[doc] > least[number])[:, None]  # the same strings with a smaller id are in this block
     i, j = np.nonzero(bits & inside)
-    change = np.zeros(len(k.data) + 1, dtype=np.int32)
     string = at[i] - (LENGTH - GRAM) + j
-    np.add.at(change, string, 1)
-    np.add.at(change, string + LENGTH, -1)
+    n = len(k.data) + 1
+    change = np.bincount(string, minlength=n) - np.bincount(string + LENGTH, minlength=n)
     gone = np.cumsum(change[:-1]) > 0
     for d in np.flatnonzero(_skip(len(k.ids), r["copies"]) & (k.sizes >= LENGTH)).tolist():
         gone[k.start[d] : k.end[d]] = True
