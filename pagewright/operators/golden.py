@@ -23,14 +23,55 @@ def _case(c, table: dict[str, str]):
     return e.otherwise(F.raise_error(F.concat(F.lit("unknown type "), F.coalesce(c, F.lit("null")))))
 
 
+def _item(text):
+    return F.struct(text.alias("content"), F.lit(None).cast("array<double>").alias("bbox"))
+
+
+def _row(texts):
+    return F.struct(F.transform(texts, lambda t: F.struct(F.array(F.struct(t.alias("content"))).alias("block"))).alias("cells"))
+
+
+#: Markup's fields: the block column, how a value becomes it, and how it becomes the value again. Cells lose their positions.
+_FIELDS = {
+    "b": ("bbox", lambda x: x, lambda x: x),
+    "lvl": ("heading_level", lambda x: x, lambda x: x),
+    "lt": ("list_type", lambda x: x, lambda x: x),
+    "items": ("items", lambda x: F.transform(x, _item), lambda x: F.transform(x, lambda i: i["content"])),
+    "cols": ("columns", lambda x: x, lambda x: x),
+    "rows": ("rows", lambda x: F.transform(x, _row), lambda x: F.transform(x, lambda r: F.transform(r["cells"], lambda c: F.array_join(F.transform(c["block"], lambda b: b["content"]), " ")))),
+    "key": ("image_key", lambda x: x, lambda x: x),
+    "latex": ("latex", lambda x: x, lambda x: x),
+}
+
+
 def from_markup(markup: DataFrame) -> DataFrame:
-    """Flat markup (t, p, c, ...) to blocks; an unknown type is an error."""
-    return markup.select("doc_id", F.col("p").alias("page"), "seq", _case(F.col("t"), MARKUP_TYPES).alias("type"), F.col("c").alias("content"), *[c for c in ("b", "lvl", "lt", "items", "cols", "rows", "key", "latex") if c in markup.columns])
+    """Flat markup (t, p, c, ...) to blocks with their items, cells and counts; an unknown type is an error."""
+    fields = {k: v for k, v in _FIELDS.items() if k in markup.columns}
+    out = markup.select("doc_id", F.col("p").alias("page"), "seq", _case(F.col("t"), MARKUP_TYPES).alias("type"), F.col("c").alias("content"), *[to(F.col(k)).alias(name) for k, (name, to, _) in fields.items()])
+    counts = {"rows": ("number_of_rows", F.size("rows")), "cols": ("number_of_columns", F.size("columns"))}
+    return out.withColumns({name: F.when(F.col("type") == "table", F.greatest(n, F.lit(0))) for k, (name, n) in counts.items() if k in fields})
 
 
 def to_markup(blocks: DataFrame) -> DataFrame:
     """The way back."""
-    return blocks.select("doc_id", F.col("page").alias("p"), "seq", _case(F.col("type"), {v: k for k, v in MARKUP_TYPES.items()}).alias("t"), F.col("content").alias("c"), *[c for c in ("b", "lvl", "lt", "items", "cols", "rows", "key", "latex") if c in blocks.columns])
+    fields = {k: v for k, v in _FIELDS.items() if v[0] in blocks.columns}
+    return blocks.select("doc_id", F.col("page").alias("p"), "seq", _case(F.col("type"), {v: k for k, v in MARKUP_TYPES.items()}).alias("t"), F.col("content").alias("c"), *[back(F.col(name)).alias(k) for k, (name, _, back) in fields.items()])
+
+
+def draft_lines(spans: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """Lines for drafts (kind 'line') from spans that aren't blank, with rounded boxes, the largest size and whether a span is in a
+    mathematical font; and the page's images as rows of their own (kind 'img')."""
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("span_no", "text"))), lambda x: x["text"]), "")
+    box = lambda *c: F.array(*[F.round(x, 1) for x in c])
+    lines = spans.filter(X.strip(F.col("text")) != "").groupBy("doc_id", "page", "block_no", "line_no").agg(
+        F.lit("line").alias("kind"), X.strip(text).alias("text"), box(F.min("line_x0"), F.min("line_y0"), F.max("line_x1"), F.max("line_y1")).alias("bbox"),
+        F.max("size").alias("size"), F.bool_or(X.is_math_font(F.col("font"))).alias("math"),
+    )
+    if images is None:
+        return lines
+    b = F.col("bbox")
+    rows = images.select("doc_id", "page", F.lit(None).cast("int").alias("block_no"), F.col("ord").cast("int").alias("line_no"), F.lit("img").alias("kind"), F.lit("").alias("text"), box(b[0], b[1], b[2], b[3]).alias("bbox"))
+    return lines.unionByName(rows, allowMissingColumns=True)
 
 
 def page_texts(rows: DataFrame, column: str) -> DataFrame:

@@ -95,10 +95,17 @@ def page_files(pages: DataFrame) -> DataFrame:
     return pages.filter("coalesce(html, '') <> ''").select("doc_id", "page", F.format_string("page_%04d.html", "page").alias("file"), "html", F.sha2(F.col("html").cast("binary"), 256).alias("sha256"))
 
 
-def span_dump(lines: DataFrame) -> DataFrame:
-    """K8: a text row for each line: box, size and text."""
+def span_dump(spans: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """K8: a text row for each span (box, font, size, text) and then for each image (IMG and its box) of a page, numbered."""
     b = F.col("bbox")
-    return lines.select("doc_id", "page", "block_no", "line_no", F.format_string("%.1f %.1f %.1f %.1f %.1f %s", b[0], b[1], b[2], b[3], F.col("size"), F.col("text")).alias("dump"))
+    text = F.format_string("%.1f %.1f %.1f %.1f %s %.1f %s", F.col("line_x0"), F.col("line_y0"), F.col("line_x1"), F.col("line_y1"), F.col("font"), F.col("size"), F.col("text"))
+    rows = spans.select("doc_id", "page", F.struct(F.lit(0).alias("k"), "block_no", "line_no", "span_no").alias("at"), text.alias("dump"))
+    if images is not None:
+        image = F.format_string("IMG %.1f %.1f %.1f %.1f", b[0], b[1], b[2], b[3])
+        none = F.lit(None).cast("int")
+        rows = rows.unionByName(images.select("doc_id", "page", F.struct(F.lit(1).alias("k"), F.col("ord").cast("int").alias("block_no"), none.alias("line_no"), none.alias("span_no")).alias("at"), image.alias("dump")))
+    n = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("at")) - 1
+    return rows.select("doc_id", "page", n.alias("n"), "dump")
 
 
 def page_dump(parts: dict[str, DataFrame]) -> DataFrame:

@@ -151,3 +151,34 @@ def title_page_levels(spark, sf_dir):
     blocks = w.select("doc_id", "page", "seq", F.when(heading, F.lit("heading")).otherwise(F.lit("paragraph")).alias("type"), F.when(s == 7, F.concat(text, F.lit(" ЛОГО"))).otherwise(text).alias("content"), F.when(heading, F.lit(6)).alias("heading_level"))
     found = w.select("doc_id", "page", "seq", text.alias("text"), (10.0 + 5 * (s % 4)).alias("size"))
     return E.title_levels(blocks, found, "ЛОГО").select("doc_id", "seq", "page", "type", F.coalesce("heading_level", F.lit(0)).alias("heading_level"))
+
+
+@query(f"""WITH {_SPANS_SQL}, l AS (SELECT doc_id, page, block_no, line_no, trim(string_agg(text, '' ORDER BY span_no)) AS text, min(x0) AS x0, max(10.0 + span_no % 4)::DOUBLE AS size, bool_or(span_no % 3 = 0) AS math FROM s WHERE trim(text) <> '' GROUP BY ALL)
+SELECT doc_id, page, block_no, line_no, 'line' AS kind, md5(text) AS text, x0, size, math FROM l UNION ALL
+SELECT doc_id, page, -1, seq::INT, 'img', md5(''), 72.0, 0.0, false FROM boxes WHERE seq % 6 = 0""")
+def draft_lines(spark, sf_dir):
+    images = boxes(spark, sf_dir).filter("seq % 6 = 0").select("doc_id", "page", F.col("seq").alias("ord"), "bbox")
+    d = D.draft_lines(_spans(spark, sf_dir), images)
+    return d.select("doc_id", "page", F.coalesce("block_no", F.lit(-1)).alias("block_no"), "line_no", "kind", F.md5("text").alias("text"), F.col("bbox")[0].alias("x0"), F.coalesce("size", F.lit(0.0)).alias("size"), F.coalesce("math", F.lit(False)).alias("math"))
+
+
+_COORDS = "format('{{:.1f}} {{:.1f}} {{:.1f}} {{:.1f}}', x0, y0, x1, y1)".replace("{{", "{").replace("}}", "}")
+
+
+@query("WITH " + _SPANS_SQL + ", r AS (SELECT doc_id, page, 0 AS k, block_no, line_no, span_no, " + _COORDS + " || CASE WHEN span_no % 3 = 0 THEN ' Cambria Math ' ELSE ' Arial ' END || (10 + span_no % 4) || '.0 ' || text AS dump FROM s UNION ALL SELECT doc_id, page, 1, seq::INT, NULL, NULL, 'IMG ' || " + _COORDS + " FROM boxes WHERE seq % 6 = 0) SELECT doc_id, page, (row_number() OVER (PARTITION BY doc_id, page ORDER BY k, block_no, line_no, span_no) - 1)::INT AS n, md5(dump) AS dump FROM r")
+def span_dump(spark, sf_dir):
+    images = boxes(spark, sf_dir).filter("seq % 6 = 0").select("doc_id", "page", F.col("seq").alias("ord"), "bbox")
+    return V.span_dump(_spans(spark, sf_dir), images).withColumn("dump", F.md5("dump"))
+
+
+@query(f"""WITH {_WORDS_SQL} SELECT doc_id, page, seq, CASE seq % 3 WHEN 0 THEN 'list' WHEN 1 THEN 'table' ELSE 'heading' END AS type, CASE WHEN seq % 3 = 2 THEN w ELSE '' END AS content,
+  CASE WHEN seq % 3 = 0 THEN w || ';b' ELSE '' END AS items, CASE WHEN seq % 3 = 1 THEN w || ';2' ELSE '' END AS cells, CASE WHEN seq % 3 = 1 THEN 1 ELSE 0 END AS number_of_rows, CASE WHEN seq % 3 = 2 THEN 3 ELSE 0 END AS heading_level FROM w""")
+def markup_to_blocks(spark, sf_dir):
+    """M11 there, back and there again, with every field."""
+    s, w = F.col("seq") % 3, F.col("w")
+    kind = F.element_at(F.array(F.lit("li"), F.lit("table"), F.lit("h")), (s + 1).cast("int"))
+    d = _words(spark, sf_dir).select("doc_id", F.col("page").alias("p"), "seq", kind.alias("t"), F.when(s == 2, w).alias("c"), F.when(s == 2, F.lit(3)).alias("lvl"), F.when(s == 0, F.array(w, F.lit("b"))).alias("items"), F.when(s == 1, F.array(F.lit("x"), F.lit("y"))).alias("cols"), F.when(s == 1, F.array(F.array(w, F.lit("2")))).alias("rows"))
+    out = D.from_markup(D.to_markup(D.from_markup(d)))
+    items, cells = F.array_join(F.transform("items", lambda i: i["content"]), ";"), F.array_join(X.cell_texts(F.col("rows")), ";")
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    return out.select("doc_id", "page", "seq", "type", empty(F.col("content")).alias("content"), empty(items).alias("items"), empty(cells).alias("cells"), F.coalesce("number_of_rows", F.lit(0)).alias("number_of_rows"), F.coalesce("heading_level", F.lit(0)).alias("heading_level"))
