@@ -3,6 +3,7 @@ caption lines, index overlays, formula chains, tables as HTML."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
@@ -11,6 +12,7 @@ from pagewright.operators import enrich as E
 from pagewright.operators import golden as D
 from pagewright.operators import render as V
 from pagewright.operators import rewrite as R
+from pagewright.plans.compare_queries import _ESC
 from pagewright.plans.inputs import BOXES_SQL, LINES_SQL, boxes, lines
 from pagewright.plans.registry import registry
 from pagewright.sources import html as H
@@ -182,3 +184,22 @@ def markup_to_blocks(spark, sf_dir):
     items, cells = F.array_join(F.transform("items", lambda i: i["content"]), ";"), F.array_join(X.cell_texts(F.col("rows")), ";")
     empty = lambda c: F.coalesce(c, F.lit(""))
     return out.select("doc_id", "page", "seq", "type", empty(F.col("content")).alias("content"), empty(items).alias("items"), empty(cells).alias("cells"), F.coalesce("number_of_rows", F.lit(0)).alias("number_of_rows"), F.coalesce("heading_level", F.lit(0)).alias("heading_level"))
+
+
+_SUBSTITUTED = _ESC.format("content")
+
+
+@query(f"""WITH {BOXES_SQL}, g AS (SELECT *, length(content) >= 3 AND x1 <= 595 AND NOT regexp_full_match(content, '[^\\p{{L}}\\p{{M}}\\p{{Pc}}]+', 's') AS good FROM boxes)
+SELECT doc_id, page, md5(string_agg('<b>' || seq || '</b>' || CASE WHEN seq % 5 <> 0 THEN '' WHEN good THEN '<p>' || {_SUBSTITUTED} || '</p>' ELSE '{E.MARKER}' END, '' ORDER BY seq)) AS html FROM g GROUP BY doc_id, page""")
+def substitute_undecoded(spark, sf_dir):
+    """Every fifth line was not decoded; its box finds the line where it is on the page and has letters."""
+    d = boxes(spark, sf_dir)
+    marked = F.concat(F.lit("<b>"), F.col("seq").cast("string"), F.lit("</b>"), F.when(F.col("seq") % 5 == 0, F.lit(E.MARKER)).otherwise(F.lit("")))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("seq", marked.alias("t")))), lambda x: x["t"])
+    pages = d.groupBy("doc_id", "page").agg(F.array_join(parts, "").alias("html"))
+    b = F.col("bbox")
+    w = Window.partitionBy("doc_id", "page").orderBy("seq")
+    found = d.filter("seq % 5 = 0").select("doc_id", "page", (F.row_number().over(w) - 1).alias("ord"), F.array(b[0], 842 - b[1], b[2], 842 - b[3]).alias("bbox"))
+    meta = d.select("doc_id", "page").distinct().withColumns({"width": F.lit(595.0), "height": F.lit(842.0)})
+    out = E.substitute_undecoded(pages, found, d.select("doc_id", "page", F.col("content").alias("text"), "bbox"), meta)
+    return out.select("doc_id", "page", F.md5("html").alias("html"))
