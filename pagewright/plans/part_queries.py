@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import text as X
 from pagewright.operators import cleanup as C
+from pagewright.operators import compare as M
 from pagewright.operators import enrich as E
 from pagewright.operators import golden as D
 from pagewright.operators import render as V
@@ -203,3 +204,34 @@ def substitute_undecoded(spark, sf_dir):
     meta = d.select("doc_id", "page").distinct().withColumns({"width": F.lit(595.0), "height": F.lit(842.0)})
     out = E.substitute_undecoded(pages, found, d.select("doc_id", "page", F.col("content").alias("text"), "bbox"), meta)
     return out.select("doc_id", "page", F.md5("html").alias("html"))
+
+
+# Texts of one letter: their likeness is known, 2 * min / (n + m) for the same letter and 0 otherwise, so that SQL can follow the matching.
+_LETTERS_SQL = f"""{LINES_SQL},
+g AS (SELECT doc_id, page, seq, CASE WHEN seq % 8 = 7 THEN 'image' ELSE type END AS type, CASE WHEN seq % 8 = 7 THEN '' ELSE repeat(chr((97 + seq % 5)::INT), (5 + seq * 7 % 11)::INT) END AS t, CASE WHEN seq % 8 = 7 THEN 'k' || seq % 3 ELSE '' END AS key,
+  row_number() OVER (PARTITION BY doc_id, page ORDER BY seq) AS n FROM lines),
+r AS (SELECT doc_id, page, list({{'seq': seq, 'type': CASE WHEN seq % 8 = 7 THEN 'image' WHEN seq % 9 = 8 THEN 'formula' ELSE type END, 't': CASE WHEN seq % 8 = 7 THEN '' ELSE repeat(chr((97 + seq % 5)::INT), (5 + seq * 5 % 11)::INT) END, 'key': CASE WHEN seq % 8 = 7 THEN 'k' || seq // 8 % 3 ELSE '' END}} ORDER BY seq) AS rows FROM lines WHERE seq % 5 <> 4 GROUP BY doc_id, page),
+p AS (SELECT g.*, list_filter(list_transform(coalesce(rows, []), lambda x: {{'like': CASE WHEN g.t = '' THEN CASE WHEN x.t = '' AND x.key = g.key THEN 1.0 ELSE 0.0 END WHEN x.t = '' OR x.t[1] <> g.t[1] THEN 0.0 ELSE 2.0 * least(length(x.t), length(g.t)) / (length(x.t) + length(g.t)) END::DOUBLE, 'back': -x.seq, 'same': x.type = g.type, 'length': length(x.t)}}), lambda x: x."like" >= 0.6) AS o FROM g LEFT JOIN r ON r.doc_id = g.doc_id AND r.page = g.page),
+m AS (SELECT doc_id, page, seq, n, t, list_reverse_sort(list_filter(o, lambda x: x.same))[1] AS hit, len(list_filter(o, lambda x: NOT x.same)) > 0 AND t <> '' AS other, list_filter([list_reverse_sort(list_filter(o, lambda x: x.same))[1]."back"], lambda x: x IS NOT NULL) AS used FROM p WHERE n = 1 UNION ALL
+  SELECT doc_id, page, seq, n, t, hit, other, list_concat(used, list_filter([hit."back"], lambda x: x IS NOT NULL)) FROM (
+    SELECT p.doc_id, p.page, p.seq, p.n, p.t, m.used, list_reverse_sort(list_filter(p.o, lambda x: x.same AND NOT list_contains(m.used, x."back")))[1] AS hit, len(list_filter(p.o, lambda x: NOT x.same AND NOT list_contains(m.used, x."back"))) > 0 AND p.t <> '' AS other FROM m JOIN p ON p.doc_id = m.doc_id AND p.page = m.page AND p.n = m.n + 1))"""
+
+
+def _letters(spark, sf_dir):
+    s = F.col("seq")
+    image, letter = s % 8 == 7, F.char(97 + s % 5)
+    d = lines(spark, sf_dir)
+    side = lambda x, kind, length, key: M.prepared(x.withColumns({"type": F.when(image, F.lit("image")).otherwise(kind), "content": F.when(image, F.lit("")).otherwise(F.repeat(letter, length.cast("int"))), "image_key": F.when(image, F.concat(F.lit("k"), key.cast("string")))}))
+    golden = side(d, F.col("type"), 5 + s * 7 % 11, s % 3)
+    result = side(d.filter(s % 5 != 4), F.when(s % 9 == 8, F.lit("formula")).otherwise(F.col("type")), 5 + s * 5 % 11, F.floor(s / 8) % 3)
+    return golden, result, M.greedy_match(golden, result)
+
+
+@query(f"""WITH RECURSIVE {_LETTERS_SQL} SELECT doc_id, page, seq, coalesce(-hit."back", -1) AS result_seq, round(coalesce(hit."like", 0), 6)::DOUBLE AS likeness, hit IS NULL AND other AS type_break FROM m""")
+def greedy_match_letters(spark, sf_dir):
+    return _letters(spark, sf_dir)[2].select("doc_id", "page", "seq", F.coalesce("result_seq", F.lit(-1)).alias("result_seq"), F.round(F.coalesce("likeness", F.lit(0.0)), 6).alias("likeness"), "type_break")
+
+
+@query(f"""WITH RECURSIVE {_LETTERS_SQL}, c AS (SELECT doc_id, sum(length(t))::BIGINT AS total, sum(CASE WHEN hit IS NULL THEN 0 ELSE least(length(t), hit.length) END)::BIGINT AS same FROM m GROUP BY doc_id) SELECT *, CASE WHEN total > 0 THEN round(same / total, 3) ELSE 0 END::DOUBLE AS coverage FROM c""")
+def text_coverage_letters(spark, sf_dir):
+    return M.text_coverage(*_letters(spark, sf_dir))
