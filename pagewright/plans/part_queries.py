@@ -235,3 +235,26 @@ def greedy_match_letters(spark, sf_dir):
 @query(f"""WITH RECURSIVE {_LETTERS_SQL}, c AS (SELECT doc_id, sum(length(t))::BIGINT AS total, sum(CASE WHEN hit IS NULL THEN 0 ELSE least(length(t), hit.length) END)::BIGINT AS same FROM m GROUP BY doc_id) SELECT *, CASE WHEN total > 0 THEN round(same / total, 3) ELSE 0 END::DOUBLE AS coverage FROM c""")
 def text_coverage_letters(spark, sf_dir):
     return M.text_coverage(*_letters(spark, sf_dir))
+
+
+@query(f"""WITH {BOXES_SQL}, l AS (SELECT doc_id, page, seq, (97 + seq % 5)::INT AS c, (4 + seq * 7 % 13)::INT AS n, (4 + seq * 5 % 11)::INT AS m, x0, y0, x1, y1 FROM boxes),
+j AS (SELECT d.doc_id, d.page, d.seq, l.seq AS line_no, CASE WHEN d.c <> l.c THEN 0.0 WHEN l.m <= d.n THEN 1.0 ELSE 2.0 * least(d.n, l.m) / (d.n + l.m) END AS r, l.x0, l.y0, l.x1, l.y1 FROM l d JOIN l ON d.doc_id = l.doc_id AND d.page = l.page),
+k AS (SELECT *, row_number() OVER w AS n, first_value(line_no) OVER w AS best, first_value(r) OVER w AS top FROM j WINDOW w AS (PARTITION BY doc_id, page, seq ORDER BY r DESC, line_no))
+SELECT doc_id, page, seq, round(min(x0), 1) AS x0, round(min(y0), 1) AS y0, round(max(x1), 1) AS x1, round(max(y1), 1) AS y1 FROM k WHERE top >= 0.6 AND ((r >= 0.6 AND n <= 8) OR (abs(line_no - best) <= 6 AND r >= 0.3)) GROUP BY doc_id, page, seq""")
+def locate_drafts_letters(spark, sf_dir):
+    """M13 over texts of one letter, whose likeness is known."""
+    s = F.col("seq")
+    text = lambda n: F.repeat(F.char(97 + s % 5), n.cast("int"))
+    d = boxes(spark, sf_dir)
+    out = D.locate_drafts(d.select("doc_id", "page", "seq", text(4 + s * 7 % 13).alias("content")), d.select("doc_id", "page", s.cast("int").alias("line_no"), text(4 + s * 5 % 11).alias("text"), "bbox"))
+    return out.select("doc_id", "page", "seq", *[F.col("bbox")[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))])
+
+
+@query(f"""WITH {LINES_SQL}, b AS (SELECT doc_id, page, string_agg(repeat('a', (3 + seq % 9)::INT) || 'b', '' ORDER BY seq) AS hay, max(3 + seq % 9) AS longest FROM lines WHERE seq % 4 <> 2 GROUP BY doc_id, page)
+SELECT l.doc_id, l.page, l.seq FROM lines l LEFT JOIN b ON b.doc_id = l.doc_id AND b.page = l.page WHERE coalesce(longest, 0) < 0.85 * (5 + l.seq % 17)""")
+def verify_draft_letters(spark, sf_dir):
+    """Runs of one letter, whose longest common part with a page is its longest run."""
+    d = lines(spark, sf_dir)
+    source = d.withColumn("content", F.repeat(F.lit("a"), (5 + F.col("seq") % 17).cast("int")))
+    held = d.filter(F.col("seq") % 4 != 2).withColumn("content", F.concat(F.repeat(F.lit("a"), (3 + F.col("seq") % 9).cast("int")), F.lit("b")))
+    return D.missing_from(source, held).select("doc_id", "page", "seq")
