@@ -36,16 +36,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: lineage ends there, and a lost executor costs no recomputation."""
     path = fresh_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    if _passing:
+        _passing[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that `written` made and nothing reads any more."""
-    for df in tables:
-        spark = df.sparkSession
-        jvm = spark._jvm
-        for p in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(p)
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Tables that `written` makes inside are deleted at the end. What is to stay is computed inside and written outside of it, or
+    handed to the function that this gives, which writes it to stay."""
+    mine: list[str] = []
+    _passing.append(mine)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = written(df, name)
+        path = mine.pop()
+        if len(_passing) > 1:
+            _passing[-2].append(path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _passing.pop()
+        for p in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

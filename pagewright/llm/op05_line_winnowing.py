@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.llm import kernels as K
-from pagewright.llm.common import in_slices, own_name, written
+from pagewright.llm.common import in_slices, own_name, passing, written
 
 #: Words that a repeated run has at least: well below a passage of 50 words without its two broken end lines.
 RUN_WORDS = 8
@@ -134,7 +134,8 @@ def deduplicate(docs: DataFrame, least: int = RUN_WORDS, id_column: str = "doc_i
     """
     row, spans = own_name(docs, "__row"), own_name(docs, "__spans")
     mine = written(docs.withColumn(row, F.monotonically_increasing_id()), "lines-input")
-    found = _spans(mine.select(row, F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")), least)
+    with passing(docs.sparkSession) as keep:
+        found = keep(_spans(mine.select(row, F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")), least), "lines-spans")
     joined = mine.join(found.toDF(row, spans), row, "left").drop(row)
     names = docs.columns
     at = names.index(text_column)

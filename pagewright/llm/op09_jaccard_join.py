@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm import kernels as K
-from pagewright.llm.common import batches_of, in_slices, own_name, written
+from pagewright.llm.common import batches_of, in_slices, own_name, passing, written
 
 SHINGLE_WORDS = 5
 #: Similarity as a whole percentage.
@@ -390,13 +390,12 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     linked; a component's id is its least non-null doc_id. A null id gives a row with a null doc_id. Empty table: no rows. Other
     columns are ignored.
     """
-    with batches_of(docs.sparkSession, BATCH_ROWS):
+    with batches_of(docs.sparkSession, BATCH_ROWS), passing(docs.sparkSession) as keep:
         classes = written(_classes(docs, id_column, text_column), "jaccard-classes")
         labels = link_classes(docs, classes, text_column)
-    rows = classes.filter("key IS NOT NULL").select("doc_id", "n", "key")
-    named = rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    named = written(named, "jaccard-named")
-    least = written(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
+        rows = classes.filter("key IS NOT NULL").select("doc_id", "n", "key")
+        named = keep(rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), "jaccard-named")
+        least = keep(named.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
     found = named.filter("n > 0").join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return found.unionByName(named.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
