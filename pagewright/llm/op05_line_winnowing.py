@@ -136,7 +136,8 @@ def deduplicate(docs: DataFrame, least: int = RUN_WORDS, id_column: str = "doc_i
     mine = written(docs.withColumn(row, F.monotonically_increasing_id()), "lines-input")
     with passing(docs.sparkSession) as keep:
         found = keep(_spans(mine.select(row, F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")), least), "lines-spans")
-    joined = mine.join(found.toDF(row, spans), row, "left").drop(row)
+    # Spans grow with the documents: they are never broadcast, however few there are.
+    joined = mine.join(found.toDF(row, spans).hint("merge"), row, "left").drop(row)
     names = docs.columns
     at = names.index(text_column)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(own_name(docs, x), T.LongType()) for x in ("__n_lines", "__n_removed", "__n_runs")]])
