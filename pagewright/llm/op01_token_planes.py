@@ -13,6 +13,7 @@ With the index any document is read by decompressing only the blocks that it tou
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -168,7 +169,16 @@ class WordTokenizer:
             memo[p] = self._bytes(e.ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids with the end id, as bytes."""
+        """Each text's ids with the end id, as bytes. Python's search for cycles is off meanwhile: there are none, and many objects."""
+        searched = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if searched:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [(x or "").replace("\n", " ").split(" ") for x in texts]
         missing = set().union(*cut)
         if len(self.memo) > MEMO_WORDS // 2:
