@@ -79,11 +79,11 @@ def attach_formula_numbers(lines: DataFrame) -> DataFrame:
     """A number line closes the last formula of its page that has none yet; number lines go. lines: doc_id, page, seq, kind, text."""
     page = Window.partitionBy("doc_id", "page").orderBy("seq")
     owner = F.last(F.when(F.col("kind") == "formula", F.col("seq")), ignorenulls=True).over(page)
-    d = lines.withColumn("owner", owner)
-    first = Window.partitionBy("doc_id", "page", "owner").orderBy("seq")
-    numbers = d.filter((F.col("kind") == "number") & F.col("owner").isNotNull()).withColumn("n", F.row_number().over(first)).filter("n = 1").select("doc_id", "page", F.col("owner").alias("seq"), F.col("text").alias("number"))
-    out = lines.filter("kind <> 'number'").join(numbers, ["doc_id", "page", "seq"], "left")
-    return out.withColumn("text", F.concat_ws(" ", "text", "number")).drop("number")
+    # All of an owner's rows see its first number: one sort of the page's lines, which are read once.
+    own = Window.partitionBy("doc_id", "page", "owner").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    number = F.first(F.when(F.col("kind") == "number", F.col("text")), ignorenulls=True).over(own)
+    out = lines.withColumn("owner", owner).withColumn("number", number).filter("kind <> 'number'")
+    return out.withColumn("text", F.concat_ws(" ", "text", F.when(F.col("owner") == F.col("seq"), F.col("number")))).drop("owner", "number")
 
 
 def split_captions(lines: DataFrame) -> DataFrame:
@@ -110,16 +110,29 @@ def enriched(blocks: DataFrame, lines: DataFrame) -> DataFrame:
     """
     numbered = lines.withColumn("seq", F.col("block_no") * F.lit(100000).cast("long") + F.col("line_no"))
     left = missing_lines(numbered, page_text(blocks)).withColumn("kind", line_kind(F.col("text"), F.col("math_share")))
-    left = split_captions(attach_formula_numbers(left.filter("kind <> 'noise'")))
-    own = left.filter("kind IN ('formula', 'caption')").select("doc_id", "page", "seq", "part", F.when(F.col("kind") == "formula", F.lit("formula")).otherwise(F.lit("paragraph")).alias("type"), F.col("text").alias("content"), "bbox", (F.col("kind") != "formula").alias("is_enriched"))
-    para = paragraphs(left.withColumn("text", X.soft_clean(F.col("text")))).select("doc_id", "page", "seq", F.lit(2).alias("part"), F.lit("paragraph").alias("type"), "content", "bbox", F.lit(True).alias("is_enriched"))
-    new = own.unionByName(para)
+    # Noise goes after the window: a filter below it would compute the kind a second time.
+    left = split_captions(attach_formula_numbers(left).filter("kind <> 'noise'"))
+    new = _lines_to_blocks(left)
     offset = blocks.groupBy("doc_id").agg((F.max("seq") + 1).alias("offset"))
     w = Window.partitionBy("doc_id").orderBy("page", "seq", "part")
     new = new.join(offset, "doc_id", "left").withColumn("seq", F.coalesce("offset", F.lit(0)) + F.row_number().over(w) - 1).drop("offset", "part")
     return blocks.unionByName(new, allowMissingColumns=True)
 
 
+def _lines_to_blocks(left: DataFrame) -> DataFrame:
+    """Formulas and captions as they are, text lines as in `paragraphs`; in one pass, as what makes the lines is dear."""
+    block = Window.partitionBy("doc_id", "page", "block_no").orderBy("seq")
+    text = F.col("kind") == "text"
+    d = left.filter("kind IN ('formula', 'caption', 'text')").withColumn("run", F.sum((F.col("kind") == "formula").cast("int")).over(block))
+    d = d.withColumn("text", F.when(text, X.soft_clean(F.col("text"))).otherwise(F.col("text"))).withColumn("one", F.when(~text, F.struct("seq", "part")))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), " ")
+    out = d.groupBy("doc_id", "page", "block_no", "run", "kind", "one").agg(F.min("seq").alias("first"), joined.alias("content"), G.union_agg(F.col("bbox")).alias("around"), F.first("bbox").alias("own"))
+    return out.select(
+        "doc_id", "page", F.col("first").alias("seq"), F.when(text, F.lit(2)).otherwise(F.col("one.part")).alias("part"), F.when(F.col("kind") == "formula", F.lit("formula")).otherwise(F.lit("paragraph")).alias("type"),
+        "content", F.when(text, F.col("around")).otherwise(F.col("own")).alias("bbox"), (F.col("kind") != "formula").alias("is_enriched"),
+    )
+
+
 def bbox_index(lines: DataFrame, priority: int = 0) -> DataFrame:
     """Line text to box, the last line of a text winning."""
     box = F.transform("bbox", lambda v: F.round(v, 1))

@@ -176,3 +176,15 @@ def test_partition_count_does_not_matter(spark):
     rows = [(P, f"= {i}" if i % 3 else f"text {i}") for i in range(40)]
     b = blocks(spark, *rows)
     assert shown(R.merge_fragments(b.repartition(7))) == shown(R.merge_fragments(b.coalesce(1)))
+
+
+def test_enrichment_reads_the_lines_once(spark):
+    """What tells missing lines is dear; it was in the plan four times."""
+    from pagewright.operators import enrich as E
+
+    lines = spark.createDataFrame([(1, 1, 0, i, t, [0.0, 10.0 * i, 50.0, 10.0 * i + 8], 0.0) for i, t in enumerate(["held text", "a = b + c", "(1.2)", "lost words of a line,", "its other half, longer than that"])], "doc_id long, page int, block_no int, line_no int, text string, bbox array<double>, math_share double")
+    held = spark.createDataFrame([(1, 1, 0, "paragraph", "held text", [0.0] * 4, False)], "doc_id long, page int, seq long, type string, content string, bbox array<double>, is_enriched boolean")
+    out = E.enriched(held, lines)
+    assert [(r["seq"], r["type"], r["content"], r["is_enriched"]) for r in out.orderBy("seq").collect()] == [(0, P, "held text", False), (1, FO, "a = b + c (1.2)", False), (2, P, "lost words of a line, its other half, longer than that", True)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("page_flat") and plan.count("AS page_flat#") <= 2
