@@ -5,19 +5,22 @@ documents, and its documents as numbers into that list. Blocks send their lists
 each block gets the total counts of its own tokens back; no list of all tokens exists in one place.
 
 Symbols. The most frequent training tokens, and REST symbols that the others are hashed to. There are about N ** GROWTH of the former
-for N training tokens, so that the vocabulary, its vectors, its classes and the training samples all grow with the input: 1,000 at
-3 * 10 ** 7 tokens, 8,000 at 5 * 10 ** 9 (about 130 and 2 MB for samples and vectors on the driver).
+for N training tokens, so that the vocabulary, its vectors and its classes grow with the input: 1,000 at 3 * 10 ** 7 tokens, 8,000 at
+5 * 10 ** 9 (some MB of vectors and their squared gradients on the driver).
 
 Model. A symbol is predicted from the CONTEXT ones before it: q = sum C_i r[w_i]. Symbols are cut into classes of equal size by what
 stands next to them, and P(w | q) = P(class | q) P(w | class, q), each a softmax of q . t + b; both are trained in numpy by
-noise-contrastive estimation on triples that all training blocks contribute, a share for each token. Scores are batched matrix
-products, one per class, over the distinct (context, symbol) of a block. A token that isn't a symbol itself has the share
+noise-contrastive estimation on every training token. A pass is cut into rounds: in each, all tasks start from the same model, go over
+a part of their own blocks' tokens, and the mean of their models, weighed by tokens, is the next round's; what comes to the driver is
+that mean. Symbols' counts and neighbours are sums over all training tokens too. Scores are batched matrix products, one per class,
+over the distinct (context, symbol) of a block. A token that isn't a symbol itself has the share
 (c + 1) / (N + V + 1) of its rest symbol, N tokens and V distinct ones in training there, and one share for whatever is not in
 training, so that log-probabilities are normalised over all tokens.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +34,14 @@ from pagewright.llm.common import in_slices, rows_of, shuffle_partitions, writte
 
 #: Frequent tokens are N ** GROWTH, a power of two and WORDS at least; the others share REST symbols.
 GROWTH, WORDS, REST = 0.4, 128, 64
-#: Symbols of context; sizes of vectors, of noise for each batch of classes and for each word, of batches; batches for each symbol.
-CONTEXT, DIMENSIONS, NOISE, WORD_NOISE, BATCH, PASSES = 3, 24, 64, 8, 4096, 1.0
-#: Samples of training tokens for each symbol, and batches at least.
-SAMPLES, STEPS = 1024, 1000
+#: Symbols of context; sizes of vectors, of noise for each batch of classes and for each word, of batches.
+CONTEXT, DIMENSIONS, NOISE, WORD_NOISE, BATCH = 3, 24, 32, 2, 2048
+#: A model is trained on each training token so often, and on small tables more often, until it has seen SEEN tokens; in so many rounds.
+PASSES, SEEN, ROUNDS = 1, 2_000_000, 4
+#: Batches of a model trained on rows at hand, at least.
+STEPS = 1000
+#: Signs of a symbol on each side in the sums of neighbours, and parts in which sums of all tasks are added up.
+SIGNS, PARTS = 16, 64
 #: Text bytes for one hash range, about.
 RANGE_BYTES = 8 << 20
 #: Words in a block, about; bounds a worker's memory.
@@ -169,8 +176,11 @@ class Vocabulary:
         self.order = np.argsort(self.words)
         self.size = len(self.words) + REST
         self.rest_n, self.rest_v = sums[:REST].copy(), sums[REST:].copy()
+        counts = n[at] if len(at) == len(self.words) else np.concatenate([[0], n[at]])[: len(self.words)]
         np.subtract.at(self.rest_n, g[at], n[at])
         np.subtract.at(self.rest_v, g[at], (n[at] > 0).astype(np.int64))
+        #: Training tokens of each symbol.
+        self.counts = np.concatenate([counts, self.rest_n])
 
     def symbols(self, hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """The symbol of each hash of a sorted list."""
@@ -200,37 +210,108 @@ def contexts(symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.stack(out)
 
 
-def sampled(blocks: DataFrame, vocabulary, seed: int = 42) -> np.ndarray:
-    """Rows of (symbol, context ...) of training tokens: SAMPLES for each symbol on average, every token with the same chance."""
-    chance = min(1.0, SAMPLES * vocabulary.value.size / max(vocabulary.value.train_tokens, 1))
+def training_rows(row: dict, vocabulary: Vocabulary) -> np.ndarray:
+    """(symbol, symbols before it) of every training token of a block."""
+    s = vocabulary.symbols(_unpack(row["hashes"], "<u8"), _unpack(row["classes"], np.uint8)).astype(np.int32)
+    sizes = _unpack(row["sizes"], "<u4").astype(np.int64)
+    symbols = s[_unpack(row["tokens"], "<u4")]
+    return np.concatenate([symbols[None], contexts(symbols, sizes)])[:, ~np.repeat(_unpack(row["held"], bool), sizes)].T
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_TRAINING = ("block", "hashes", "classes", "sizes", "tokens", "held")
+
+
+def summed(parts: DataFrame) -> np.ndarray:
+    """The sum of all tasks' lists of numbers; `parts` (part, block, numbers) has each list cut by `_cut`. Added in order of blocks."""
+
+    def add(t: pa.Table) -> pa.Table:
+        order = np.argsort(t.column("block").to_numpy(), kind="stable")
+        x = t.column("numbers")
+        total = sum(np.frombuffer(x[int(i)].as_buffer(), "<f8") for i in order)
+        return pa.table({"part": t.column("part")[:1], "numbers": pa.array([total.tobytes()], pa.binary())})
+
+    got = parts.groupBy("part").applyInArrow(add, "part int, numbers binary").orderBy("part").collect()
+    return np.concatenate([np.frombuffer(r["numbers"], "<f8") for r in got]) if got else np.zeros(0)
+
+
+def _cut(block: int, numbers: np.ndarray) -> pa.RecordBatch:
+    cut = np.array_split(np.asarray(numbers, dtype="<f8"), PARTS)
+    return pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([block] * PARTS, pa.int64()), pa.array([x.tobytes() for x in cut], pa.binary())], names=["part", "block", "numbers"])
+
+
+_PARTS = "part int, block long, numbers binary"
+
+
+def neighbours(rows: np.ndarray, size: int, seed: int = 42) -> np.ndarray:
+    """For each symbol the sum of its left neighbours' signs and of its right ones'; whole numbers, that add up over blocks."""
+    signs = np.random.default_rng(seed).integers(0, 2, (2, SIGNS, size)) * 2 - 1
+    pairs, n = np.unique(rows[:, 0].astype(np.int64) * size + rows[:, 1], return_counts=True)
+    w, left = np.divmod(pairs, size)
+    return np.stack([np.bincount(w, n * x[left], size) for x in signs[0]] + [np.bincount(left, n * x[w], size) for x in signs[1]], axis=1)
+
+
+def all_neighbours(blocks: DataFrame, vocabulary) -> np.ndarray:
+    """`neighbours` of all training tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, block = None, 0
         for b in batches:
             for r in rows_of(b):
-                s = vocabulary.value.symbols(_unpack(r["hashes"], "<u8"), _unpack(r["classes"], np.uint8))
-                sizes = _unpack(r["sizes"], "<u4").astype(np.int64)
-                symbols = s[_unpack(r["tokens"], "<u4")]
-                train = ~np.repeat(_unpack(r["held"], bool), sizes)
-                at = np.flatnonzero(train & (np.random.default_rng([seed, r["block"]]).random(len(symbols)) < chance))
-                rows = np.concatenate([symbols[None, at], contexts(symbols, sizes)[:, at]]).astype("<i4")
-                yield pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int64()), pa.array([_pack(rows)], pa.binary())], names=["block", "rows"])
+                x = neighbours(training_rows(r, vocabulary.value), vocabulary.value.size)
+                total, block = (x, r["block"]) if total is None else (total + x, block)
+        if total is not None:
+            yield _cut(block, total.ravel())
+
+    return summed(blocks.select(*_TRAINING).mapInArrow(run, _PARTS)).reshape(-1, 2 * SIGNS)
+
+
+def trained(blocks: DataFrame, vocabulary, steps: int | None = None, seed: int = 42) -> LogBilinear:
+    """The model after PASSES or more over every training token. steps: rounds that they are cut into, else ROUNDS."""
+    v = vocabulary.value
+    if not v.train_tokens:
+        return LogBilinear.untrained(v.counts, np.zeros((v.size, 2 * SIGNS)), seed)
+    model = LogBilinear.untrained(v.counts, all_neighbours(blocks, vocabulary), seed)
+    passes, steps = max(PASSES, -(-SEEN // v.train_tokens)), steps or ROUNDS
+    for round_ in range(steps):
+        shared = blocks.sparkSession.sparkContext.broadcast(model)
+        got = summed(blocks.select(*_TRAINING).mapInArrow(_round(vocabulary, shared, round_, steps, passes, seed), _PARTS))
+        model.load(got[:-1] / got[-1])
+        shared.unpersist()
+    return model
 
-    got = blocks.select("block", "hashes", "classes", "sizes", "tokens", "held").mapInArrow(pick, "block long, rows binary").orderBy("block").collect()
-    parts = [_unpack(r["rows"], "<i4").reshape(CONTEXT + 1, -1) for r in got]
-    return np.concatenate(parts, axis=1).T if parts else np.zeros((0, CONTEXT + 1), dtype=np.int32)
 
+def turns(n: int, passes: int, round_: int, steps: int, order: np.ndarray) -> np.ndarray:
+    """Which of a block's n tokens a round goes over: over all rounds, each token `passes` times."""
+    return order[np.arange(passes * n * round_ // steps, passes * n * (round_ + 1) // steps) % n]
 
-def classes_of(samples: np.ndarray, size: int, seed: int = 42) -> tuple[np.ndarray, int]:
+
+def _round(vocabulary, shared, round_: int, steps: int, passes: int, seed: int):
+    rate = 0.1 * (1 - round_ / steps) + 0.005
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, block, weight = shared.value.copy(), None, 0
+        for b in batches:
+            for r in rows_of(b):
+                rows = training_rows(r, vocabulary.value)
+                if not len(rows):
+                    continue
+                rows = rows[turns(len(rows), passes, round_, steps, np.random.default_rng([seed, r["block"]]).permutation(len(rows)))]
+                rng = np.random.default_rng([seed, r["block"], round_])
+                for i in range(0, len(rows), BATCH):
+                    model.learn(rows[i : i + BATCH], rate, rng)
+                block, weight = r["block"] if block is None else block, weight + len(rows)
+        if weight:
+            yield _cut(block, np.append(model.state() * weight, weight))
+
+    return run
+
+
+def classes_of(features: np.ndarray, counts: np.ndarray, seed: int = 42) -> tuple[np.ndarray, int]:
     """A class for each symbol, and how many there are: symbols are halved again and again at the median of the direction in which
-    their neighbours differ most, so that classes have equal sizes."""
-    rng = np.random.default_rng(seed)
-    random = rng.normal(0, 1, (2, size, 16))
-    features = np.zeros((size, 32))
-    n = np.bincount(samples[:, 0], minlength=size) + 1.0
-    _add(features[:, :16], samples[:, 0], random[0][samples[:, 1]])
-    _add(features[:, 16:], samples[:, 1], random[1][samples[:, 0]])
-    features /= n[:, None]
-    features += rng.normal(0, 1e-6, features.shape)
+    their neighbours (see `neighbours`) differ most, so that classes have equal sizes."""
+    size = len(counts)
+    features = features / (counts[:, None] + 1.0)
+    features += np.random.default_rng(seed).normal(0, 1e-6, features.shape)
     levels = max(1, round(np.log2(size) / 2))
     out = np.zeros(size, dtype=np.int64)
     for _ in range(levels):
@@ -246,74 +327,108 @@ def classes_of(samples: np.ndarray, size: int, seed: int = 42) -> tuple[np.ndarr
     return out, 1 << levels
 
 
-def _add(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """to[at] += rows, with repeated numbers."""
-    if len(at):
-        order = np.argsort(at, kind="stable")
-        sorted_ = at[order]
-        first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        to[sorted_[first]] += np.add.reduceat(rows[order], first, axis=0)
-
-
 class LogBilinear:
-    """The trained model."""
+    """The model. Trained on rows at hand by its constructor; `trained` trains one on all blocks."""
+
+    #: What is trained.
+    LEARNED = ("r", "t", "k", "c", "b", "kb")
 
     def __init__(self, samples: np.ndarray, size: int, steps: int | None = None, seed: int = 42):
         """samples: rows of (symbol, symbols before it), of `size` symbols. steps: of training; else as many as the samples ask for."""
+        self._start(np.bincount(samples[:, 0], minlength=size), neighbours(samples, size) if len(samples) else np.zeros((size, 2 * SIGNS)), seed)
+        rng = np.random.default_rng(seed)
+        steps = max(STEPS, len(samples) // BATCH) if steps is None else steps
+        for step in range(steps if len(samples) else 0):
+            self.learn(samples[rng.integers(0, len(samples), BATCH)], 0.1 * (1 - step / steps) + 0.005, rng)
+
+    @classmethod
+    def untrained(cls, counts: np.ndarray, features: np.ndarray, seed: int = 42) -> LogBilinear:
+        """A model to be trained, of symbols with these counts and `neighbours`."""
+        model = cls.__new__(cls)
+        model._start(counts, features, seed)
+        return model
+
+    def _start(self, counts: np.ndarray, features: np.ndarray, seed: int) -> None:
         rng, f = np.random.default_rng(seed), np.float32
-        self.size = size
-        unigram = np.bincount(samples[:, 0], minlength=size) + 1.0
-        self.cls, self.n_classes = classes_of(samples, size) if len(samples) else (np.arange(size) % 2, 2)
+        self.size = size = len(counts)
+        self.cls, self.n_classes = classes_of(features, counts)
         # Symbols in order of class: a class is a run of them.
         self.order = np.argsort(self.cls, kind="stable")
         self.place = np.empty(size, dtype=np.int64)
         self.place[self.order] = np.arange(size)
         self.begin = np.searchsorted(self.cls[self.order], np.arange(self.n_classes + 1))
+        unigram = counts + 1.0
         mass = np.bincount(self.cls, unigram, self.n_classes)
-        noise, inside = mass / mass.sum(), (unigram / mass[self.cls])[self.order]
+        self.noise, self.inside = mass / mass.sum(), (unigram / mass[self.cls])[self.order]
+        self.upto = np.concatenate([[0.0], np.cumsum(self.inside)])
+        self.log_noise, self.log_inside = np.log(NOISE * self.noise).astype(f), np.log(WORD_NOISE * self.inside).astype(f)
         start = lambda *shape: rng.normal(0, 0.1, shape).astype(f)
         self.r, self.t, self.k = start(size, DIMENSIONS), start(size, DIMENSIONS), start(self.n_classes, DIMENSIONS)
         self.c = np.stack([np.eye(DIMENSIONS, dtype=f) / (i + 1) for i in range(CONTEXT)])
-        self.b, self.kb = np.log(inside).astype(f), np.log(noise).astype(f)  # t, b: in order of class
-        if not len(samples) or steps == 0:
-            return
-        steps = steps or max(STEPS, int(PASSES * len(samples) / BATCH))
-        upto = np.concatenate([[0.0], np.cumsum(inside)])
-        log_noise, log_inside = np.log(NOISE * noise).astype(f), np.log(WORD_NOISE * inside).astype(f)
-        square = {n: np.full_like(getattr(self, n), 1e-6) for n in ("r", "t", "k", "c", "b", "kb")}
+        self.b, self.kb = np.log(self.inside).astype(f), np.log(self.noise).astype(f)  # t, b: in order of class
+        self.square = {n: np.full_like(getattr(self, n), 1e-6) for n in self.LEARNED}
+
+    def copy(self) -> LogBilinear:
+        """One that can be trained without changing this one."""
+        other = copy.copy(self)
+        other.square = {}
+        for n in self.LEARNED:
+            setattr(other, n, getattr(self, n).copy())
+            other.square[n] = self.square[n].copy()
+        return other
+
+    def state(self) -> np.ndarray:
+        """All that training changes, in a row."""
+        return np.concatenate([x.ravel().astype(np.float64) for n in self.LEARNED for x in (getattr(self, n), self.square[n])])
+
+    def load(self, state: np.ndarray) -> None:
+        at = 0
+        for n in self.LEARNED:
+            for x in (getattr(self, n), self.square[n]):
+                x[...] = state[at : at + x.size].reshape(x.shape)
+                at += x.size
+
+    def learn(self, rows: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+        """One step on a batch of rows (symbol, symbols before it)."""
         sigmoid = lambda x: 1 / (1 + np.exp(-x))
-        for step in range(steps):
-            rows = samples[rng.integers(0, len(samples), BATCH)]
-            w, before = self.place[rows[:, 0]], rows[:, 1:].T
-            cls = self.cls[rows[:, 0]]
-            q = sum(self.r[before[i]] @ self.c[i] for i in range(CONTEXT))
-            g = {n: np.zeros_like(getattr(self, n)) for n in square}
-            # The class against NOISE classes that the batch shares.
-            z = rng.choice(self.n_classes, NOISE, p=noise)
-            good = (1 - sigmoid((q * self.k[cls]).sum(1) + self.kb[cls] - log_noise[cls])).astype(f)
-            bad = -sigmoid(q @ self.k[z].T + self.kb[z] - log_noise[z]).astype(f)
-            gq = good[:, None] * self.k[cls] + bad @ self.k[z]
-            _add(g["k"], cls, good[:, None] * q)
-            _add(g["k"], z, bad.T @ q)
-            np.add.at(g["kb"], cls, good)
-            np.add.at(g["kb"], z, bad.sum(0))
-            # The word against WORD_NOISE words of its class each.
-            low, high = upto[self.begin[cls]], upto[self.begin[cls + 1]]
-            z = np.searchsorted(upto, low[:, None] + rng.random((BATCH, WORD_NOISE)) * (high - low)[:, None], "right") - 1
-            z = np.clip(z, self.begin[cls][:, None], self.begin[cls + 1][:, None] - 1)
-            good = (1 - sigmoid((q * self.t[w]).sum(1) + self.b[w] - log_inside[w])).astype(f)
-            bad = -sigmoid(np.einsum("bd,bkd->bk", q, self.t[z]) + self.b[z] - log_inside[z]).astype(f)
-            gq += good[:, None] * self.t[w] + np.einsum("bk,bkd->bd", bad, self.t[z])
-            _add(g["t"], np.concatenate([w, z.ravel()]), np.concatenate([good[:, None] * q, (bad[:, :, None] * q[:, None]).reshape(-1, DIMENSIONS)]))
-            np.add.at(g["b"], np.concatenate([w, z.ravel()]), np.concatenate([good, bad.ravel()]))
-            for i in range(CONTEXT):
-                g["c"][i] = self.r[before[i]].T @ gq
-                _add(g["r"], before[i], gq @ self.c[i].T)
-            rate = 0.1 * (1 - step / steps) + 0.005
-            for n, v in g.items():
-                d = v / BATCH
-                square[n] += d * d
-                getattr(self, n)[...] += rate * d / np.sqrt(square[n])
+        f, size = np.float32, len(rows)
+        w, before, cls = self.place[rows[:, 0]], rows[:, 1:].T, self.cls[rows[:, 0]]
+        context = self.r[before]
+        q = sum(context[i] @ self.c[i] for i in range(CONTEXT))
+        # The class against NOISE classes that the batch shares.
+        z = rng.choice(self.n_classes, NOISE, p=self.noise)
+        good = (1 - sigmoid((q * self.k[cls]).sum(1) + self.kb[cls] - self.log_noise[cls])).astype(f)
+        bad = -sigmoid(q @ self.k[z].T + self.kb[z] - self.log_noise[z]).astype(f)
+        gq = good[:, None] * self.k[cls] + bad @ self.k[z]
+        class_at, class_by = np.concatenate([cls, z]), np.concatenate([good, bad.sum(0)])
+        class_rows = np.concatenate([good[:, None] * q, bad.T @ q])
+        # The word against WORD_NOISE words of its class each.
+        low, high = self.upto[self.begin[cls]], self.upto[self.begin[cls + 1]]
+        z = np.searchsorted(self.upto, low[:, None] + rng.random((size, WORD_NOISE)) * (high - low)[:, None], "right") - 1
+        z = np.clip(z, self.begin[cls][:, None], self.begin[cls + 1][:, None] - 1)
+        good = (1 - sigmoid((q * self.t[w]).sum(1) + self.b[w] - self.log_inside[w])).astype(f)
+        noise = self.t[z]
+        bad = -sigmoid(np.matmul(noise, q[:, :, None])[:, :, 0] + self.b[z] - self.log_inside[z]).astype(f)
+        gq += good[:, None] * self.t[w] + np.matmul(bad[:, None], noise)[:, 0]
+        word_rows = np.concatenate([good[:, None] * q, (bad[:, :, None] * q[:, None]).reshape(-1, DIMENSIONS)])
+        matrices = np.stack([context[i].T @ gq for i in range(CONTEXT)]) / size
+        self._step("r", before.ravel(), np.concatenate([gq @ self.c[i].T for i in range(CONTEXT)]), size, rate)
+        self._step("t", np.concatenate([w, z.ravel()]), word_rows, size, rate, "b", np.concatenate([good, bad.ravel()]))
+        self._step("k", class_at, class_rows, size, rate, "kb", class_by)
+        self.square["c"] += matrices * matrices
+        self.c += rate * matrices / np.sqrt(self.square["c"])
+
+    def _step(self, name: str, at: np.ndarray, rows: np.ndarray, size: int, rate: float, bias: str | None = None, by: np.ndarray | None = None) -> None:
+        """Moves the rows `at` of what is called `name`, and their biases, by their gradients; numbers may repeat."""
+        order = np.argsort(at, kind="stable")
+        sorted_ = at[order]
+        first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+        for n, x in ((name, rows), (bias, by)):
+            if n is not None:
+                u, d = sorted_[first], np.add.reduceat(x[order], first, axis=0) / size
+                square = self.square[n][u] + d * d
+                self.square[n][u] = square
+                getattr(self, n)[u] += rate * d / np.sqrt(square)
 
     def log10(self, rows: np.ndarray) -> np.ndarray:
         """log10 P(symbol | symbols before it) of rows (symbol, symbols before it), normalised over all symbols."""
@@ -365,7 +480,7 @@ def log_bilinear_scores(docs: DataFrame, id_column: str = "doc_id", text_column:
     buckets = max(-(-(total[1] or 0) // RANGE_BYTES), shuffle_partitions(spark))
     counts = written(exchange_counts(blocks, buckets, words), "lm-counts")
     vocabulary = spark.sparkContext.broadcast(Vocabulary(counts.filter("block IS NULL").select("totals", "top").orderBy("bucket").collect(), words))
-    model = spark.sparkContext.broadcast(LogBilinear(sampled(blocks, vocabulary), vocabulary.value.size, steps))
+    model = spark.sparkContext.broadcast(trained(blocks, vocabulary, steps))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, m = vocabulary.value, model.value

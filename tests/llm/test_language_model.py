@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 
@@ -80,3 +81,45 @@ def test_held_out_gain_and_partitioning(spark):
     held = got[got["held_out"]]
     assert set(held["doc_id"]) == {i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2}
     assert held["score"].sum() / held["n_tokens"].sum() > held["base_score"].sum() / held["n_tokens"].sum() + 0.3
+
+
+class Counting(O10.LogBilinear):
+    """Keeps what it is trained on."""
+
+    seen: list = []
+
+    def learn(self, rows, rate, rng):
+        self.seen.append(rows)
+
+
+def test_every_training_token_is_learned_from(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 31 + j * j) % 97}" for j in range(40 + i))) for i in range(60)], "doc_id long, text string").coalesce(2)
+    blocks = O10.encode_blocks(docs).cache()
+    words = O10.n_words(1)
+    counts = O10.exchange_counts(blocks, 3, words)
+    v = SimpleNamespace(value=O10.Vocabulary(counts.filter("block IS NULL").select("totals", "top").orderBy("bucket").collect(), words))
+    rows = np.concatenate([O10.training_rows(r.asDict(), v.value) for r in blocks.collect()])
+    assert len(rows) == v.value.train_tokens == sum(41 + i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2)
+    assert np.array_equal(np.bincount(rows[:, 0], minlength=v.value.size), v.value.counts)
+    size = v.value.size
+    assert np.array_equal(O10.all_neighbours(blocks, v), O10.neighbours(rows, size))
+    model = Counting.untrained(v.value.counts, O10.neighbours(rows, size))
+    batch = blocks.select(*O10._TRAINING).toArrow().combine_chunks().to_batches()
+    Counting.seen, weight = [], 0
+    for round_ in range(3):
+        (got,) = O10._round(v, SimpleNamespace(value=model), round_, 3, 2, 42)(batch)
+        parts = [np.frombuffer(x, "<f8") for x in got.column("numbers").to_pylist()]
+        state = np.concatenate(parts)
+        weight += state[-1]
+        assert np.allclose(state[:-1] / state[-1], model.state())
+    order = lambda x: x[np.lexsort(x.T)]
+    assert weight == 2 * len(rows)
+    assert np.array_equal(order(np.concatenate(Counting.seen)), order(np.concatenate([rows, rows])))  # each token twice in two passes
+    blocks.unpersist()
+
+
+def test_model_is_the_mean_of_the_tasks_models(spark):
+    state = np.arange(200.0)
+    parts = spark.createDataFrame([(p, b, bytearray(x)) for b, w in ((5, 1), (2, 3)) for p, x in zip(range(O10.PARTS), O10._cut(b, np.append(state * b * w, w)).column("numbers").to_pylist(), strict=True)], O10._PARTS)
+    got = O10.summed(parts)
+    assert np.allclose(got[:-1] / got[-1], state * (5 * 1 + 2 * 3) / 4)
