@@ -51,6 +51,8 @@ BAND = 1.03
 SKETCH_BINS, SKETCH_SHARE = 64, 0.5
 #: Rows that Python gets at once: sets of long documents have some MB.
 BATCH_ROWS = 512
+#: Links that the driver merges to components (some 60 MB); of more, rounds on the executors leave so many.
+DRIVER_LINKS = 500_000
 #: Pairs of a document that are compared before the others of it are looked at again.
 FIRST = 8
 #: Most rounds of comparison with centres; they end when a round finds no link.
@@ -258,16 +260,31 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, labels) of the ends of the links a, b: the least key of each connected component."""
+    keys, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(keys))
+    while len(x):
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))  # a larger root goes to a smaller one
+        while (label[label] != label).any():
+            label = label[label]
+        x, y = label[x], label[y]
+        apart = x != y
+        x, y = x[apart], y[apart]
+    return keys, keys[label]
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(key, label) for every end of `links` (a, b): label is the same key for all of a connected component.
 
     In each round every key goes to the one of itself and its neighbours with the least hash, another one each round, and links are
     drawn between the keys that theirs went to, each once. So keys and links get fewer by a share of them each round, long chains and
-    dense groups alike, until no links are left.
+    dense groups alike. When DRIVER_LINKS are left or fewer, the driver merges all of them.
     """
     edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), name + "-edges")
     labels, round_ = None, 0
-    while True:
+    while edges.count() > 2 * DRIVER_LINKS:
         least = F.least(F.min(F.struct(F.xxhash64(F.lit(round_), "b").alias("h"), F.col("b").alias("key"))), F.struct(F.xxhash64(F.lit(round_), "a").alias("h"), F.col("a").alias("key")))
         steps = written(edges.groupBy("a").agg(least["key"].alias("to")), name + "-steps")
         if labels is None:
@@ -276,9 +293,13 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             labels = written(labels.join(steps.select(F.col("a").alias("label"), "to"), "label", "left").select("key", F.coalesce("to", "label").alias("label")), name)
         both = edges.join(steps, "a").select("b", F.col("to").alias("from")).join(steps.select(F.col("a").alias("b"), "to"), "b").select(F.col("from").alias("a"), F.col("to").alias("b"))
         edges = written(both.filter("a <> b").distinct(), name + "-edges")
-        if edges.isEmpty():
-            return labels
         round_ += 1
+    few = edges.filter("a < b").toArrow()
+    keys, to = merged(few.column("a").to_numpy(), few.column("b").to_numpy())
+    rest = links.sparkSession.createDataFrame(pa.table({"label": pa.array(keys, pa.int64()), "to": pa.array(to, pa.int64())}))
+    if labels is None:
+        return written(rest.select(F.col("label").alias("key"), F.col("to").alias("label")), name)
+    return written(labels.join(rest, "label", "left").select("key", F.coalesce("to", "label").alias("label")), name)
 
 
 def _prefix(n: Column) -> Column:

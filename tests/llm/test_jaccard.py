@@ -77,3 +77,40 @@ def test_clashing_names_and_repeats(spark):
     got = O9.one_of_each(d)
     assert got.columns == d.columns
     assert Counter(map(tuple, got.collect())) == Counter([rows[0], rows[3], rows[4]])
+
+
+def test_few_links_are_merged_in_one_go_and_many_in_rounds(spark, monkeypatch):
+    rng = random.Random(4)
+    chain = [(i, i + 1) for i in range(-150, 150)]
+    links = chain + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(180)] + [(9000, 5000 + i) for i in range(40)]
+    near = {}
+    for a, b in links:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want, left = set(), set(near)
+    while left:
+        todo, group = [left.pop()], set()
+        while todo:
+            x = todo.pop()
+            group.add(x)
+            todo += near[x] - group
+        left -= group
+        want.add(frozenset(group))
+    made, written = [], O9.written
+    monkeypatch.setattr(O9, "written", lambda df, name: made.append(name) or written(df, name))
+    table = spark.createDataFrame(links, "a long, b long")
+
+    def groups():
+        by = {}
+        for r in O9.components(table).collect():
+            by.setdefault(r["label"], []).append(r["key"])
+        assert all(label in keys and len(keys) == len(set(keys)) for label, keys in by.items())
+        return {frozenset(x) for x in by.values()}
+
+    assert groups() == want
+    assert len(made) == 2  # not some tables in each of many rounds
+    monkeypatch.setattr(O9, "DRIVER_LINKS", 20)
+    assert groups() == want
+    assert len(made) > 4
+    assert O9.components(table.limit(0)).count() == 0
