@@ -1,8 +1,8 @@
 """Quality rules as an isolation forest over rule statistics (operator 4).
 
 Every document gets statistics of its words, symbols, lines and repeats. Trees of random splits, each grown on a few
-documents, isolate odd documents by short paths; the score is 2 ** (-mean path / expected path). The threshold comes from labelled
-rows. Documents that fail a base rule are dropped whatever their score.
+documents, isolate odd documents by short paths; the score is 2 ** (-mean path / expected path). The threshold comes from all labelled
+rows, counted by bins of their scores. Documents that fail a base rule are dropped whatever their score.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 from pagewright.llm import kernels as K
 from pagewright.llm.common import in_slices
 
-#: Bound of the labelled rows that set the threshold.
+#: Labelled rows that a task scores at once.
 LABELLED_ROWS = 20_000
+#: Bins of scores in which labelled rows are counted; the threshold lies on an edge or in the middle of one.
+BINS = 1 << 16
 #: Small trees: odd documents come in kinds, and more rows a tree would hold many of a kind and hide them.
 TREES, TREE_ROWS = 200, 32
 #: Share of labelled good rows that must be kept.
@@ -169,18 +171,23 @@ class Forest:
         return 2.0 ** (-total / max(len(self.trees), 1) / max(float(self.expected(self.rows)), 1e-9))
 
 
-def calibrate(score: np.ndarray, good: np.ndarray, keep_good: float = KEEP_GOOD) -> float:
-    """The threshold at or below which documents are kept: of those that keep `keep_good` of the good rows, the one with the best
-    balanced accuracy. Without labelled rows of both kinds nothing is dropped."""
-    if not good.any() or good.all():
+def bins_of(score: np.ndarray) -> np.ndarray:
+    """The bin of each score: a score is in bin b or lower if it is b / BINS or less."""
+    return np.ceil(score * BINS).astype(np.int64)
+
+
+def calibrate(bins: np.ndarray, good: np.ndarray, bad: np.ndarray, keep_good: float = KEEP_GOOD) -> float:
+    """The threshold at or below which documents are kept, from the good and bad rows of each bin: of those that keep `keep_good` of the
+    good rows, the one with the best balanced accuracy. Without labelled rows of both kinds nothing is dropped."""
+    if not good.sum() or not bad.sum():
         return 1.0
-    cuts = np.unique(score)
-    g, b = np.sort(score[good]), np.sort(score[~good])
-    kept = np.searchsorted(g, cuts, "right") / len(g)
-    dropped = 1 - np.searchsorted(b, cuts, "right") / len(b)
-    value = np.where(kept >= keep_good, kept + dropped, -1)
-    best = int(value.argmax())
-    return float((cuts[best] + cuts[min(best + 1, len(cuts) - 1)]) / 2)
+    order = np.argsort(bins)
+    cuts = bins[order]
+    kept = np.cumsum(good[order]) / good.sum()
+    dropped = 1 - np.cumsum(bad[order]) / bad.sum()
+    best = int(np.where(kept >= keep_good, kept + dropped, -1).argmax())
+    # In the middle of the scores that no labelled row has.
+    return float(cuts[best] + (cuts[best + 1] - 1 if best + 1 < len(cuts) else cuts[best])) / (2 * BINS)
 
 
 def _table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -202,12 +209,18 @@ def fit(table: DataFrame, labels: DataFrame, seed: int = 42) -> tuple[Forest, fl
     rows = np.array([list(r) for r in table.filter(usable).orderBy(*order).limit(TREES * TREE_ROWS).select(*names).collect()], dtype=np.int64).reshape(-1, len(names))
     forest = Forest(features(rows), seed=seed)
     clean = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most")).filter("q = most").select("doc_id", "q")
-    some = clean.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(LABELLED_ROWS)
-    got = table.join(F.broadcast(some), "doc_id").orderBy(*order).select("q", *names).limit(4 * LABELLED_ROWS).collect()  # LABELLED_ROWS ids at most
-    got = np.array([list(r) for r in got], dtype=np.int64).reshape(-1, len(names) + 1)
-    s, good = got[:, 1:], got[:, 0] == 1
-    ok = ~base_failed(s)
-    return forest, calibrate(forest.score(features(s[ok])), good[ok])
+    shared = table.sparkSession.sparkContext.broadcast(forest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in in_slices(batches, LABELLED_ROWS):
+            s = np.stack([b.column(x).to_numpy(zero_copy_only=False) for x in names], axis=1)
+            yield pa.RecordBatch.from_arrays([b.column("q"), pa.array(bins_of(shared.value.score(features(s))))], names=["q", "bin"])
+
+    scored = table.filter(usable).join(clean, "doc_id").select(F.col("q").cast("long").alias("q"), *names).mapInArrow(run, "q long, bin long")
+    is_good = (F.col("q") == 1).cast("long")
+    got = scored.groupBy("bin").agg(F.sum(is_good).alias("good"), F.sum(1 - is_good).alias("bad")).collect()  # BINS rows at most
+    bins, good, bad = np.array([list(r) for r in got], dtype=np.int64).reshape(-1, 3).T
+    return forest, calibrate(bins, good, bad)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -35,3 +35,22 @@ def test_path_lengths_against_walking_the_trees():
     x[0] = 9
     score = O4.Forest(x).score(x)
     assert score.shape == (400,) and (score > 0).all() and (score < 1).all() and score.argmax() == 0
+
+
+def test_threshold_is_of_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(O4, "LABELLED_ROWS", 10)
+    rng = random.Random(6)
+    rows = [(i, text(rng, "symbols" if i % 4 == 0 else "")) for i in range(300)]
+    table = O4._table(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").cache()
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i, _ in rows], "doc_id long, quality int")
+    forest, threshold = O4.fit(table, labels)
+    names = [*O4.BASE, *O4.EXTRA]
+    got = table.toPandas()
+    s = got[names].to_numpy()
+    ok = ~O4.base_failed(s)
+    bins, good = O4.bins_of(forest.score(O4.features(s[ok]))), (got["doc_id"].to_numpy() % 4 > 0)[ok]
+    value = {c: (bins[good] <= c).mean() + (bins[~good] > c).mean() for c in np.unique(bins) if (bins[good] <= c).mean() >= O4.KEEP_GOOD}
+    best = min(c for c in value if value[c] == max(value.values()))
+    later = bins[bins > best]
+    assert threshold == (best + (later.min() - 1 if len(later) else best)) / (2 * O4.BINS)
+    table.unpersist()
